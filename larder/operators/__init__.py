@@ -12,7 +12,7 @@ from larder.operators.calendar import (
 from larder.operators.codes import remap_codes, replicate_segment
 from larder.operators.fill import clean_columns, duration_total, hierarchical_mean_fill, sentinel_fill
 from larder.operators.filters import exclude_patterns, rule_filter
-from larder.operators.join import enrich
+from larder.operators.join import enrich, fan_out_join
 from larder.operators.latest import latest_per_key
 from larder.operators.means import weighted_mean
 from larder.operators.shape import distinct_ordered, pad_to_schema, project, stack
@@ -28,6 +28,7 @@ __all__ = [
     "enrich",
     "exclude_patterns",
     "explode_tags",
+    "fan_out_join",
     "hierarchical_mean_fill",
     "label_days",
     "latest_per_key",

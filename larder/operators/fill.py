@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions import clean_text, minutes_or, ratio, sentinel
@@ -33,12 +33,14 @@ def hierarchical_mean_fill(
     groups: Sequence[str],
     default: float,
     flags: Mapping[str, str] | None = None,
+    weight: Column | None = None,
 ) -> DataFrame:
     """Fill NULLs with the mean of the row's group, trying ``groups`` in order.
 
     ``columns`` maps a column to the name of its filled version and ``flags`` a
     column to the name of a 0/1 column that says its own value was missing. When
     no group has a mean the ``default`` is used. NULL is a group like any other.
+    ``weight`` is how many rows a row counts for in the means, one if omitted.
 
     Sums and counts for all columns are taken once per combination of groups,
     combining on the map side, and every group's means come from that small
@@ -49,10 +51,11 @@ def hierarchical_mean_fill(
     row_level = df.withColumns(
         {name: F.when(F.col(c).isNull(), 1).otherwise(0) for c, name in (flags or {}).items()}
     )
+    rows = F.lit(1) if weight is None else weight
     sums = {c: (f"_sum_{i}", f"_count_{i}") for i, c in enumerate(columns)}
     combined = df.groupBy(*groups).agg(
-        *(F.sum(c).alias(s) for c, (s, _) in sums.items()),
-        *(F.count(c).alias(n) for c, (_, n) in sums.items()),
+        *(F.sum(F.col(c) * rows).alias(s) for c, (s, _) in sums.items()),
+        *(F.sum(F.when(F.col(c).isNotNull(), rows)).alias(n) for c, (_, n) in sums.items()),
     )
     filled = row_level
     for level, group in enumerate(groups):

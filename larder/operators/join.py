@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from larder.functions import all_of
 
 
 def enrich(
@@ -13,12 +16,38 @@ def enrich(
 ) -> DataFrame:
     """Join the dimensions on to the fact, one after the other.
 
-    Each entry is (frame, join columns or condition, join type). Several matches
-    for one fact row give several rows. No side is forced to be broadcast: Spark
-    does so where it measures the side to be under the session's limit, and
-    splits skewed partitions of the sort-merge joins that remain.
+    Each entry is (frame, join columns or condition, join type). The type
+    ``left_many`` is a left join to a frame that may hold any number of rows for
+    one key (see ``fan_out_join``). Several matches for one fact row give
+    several rows. No side is forced to be broadcast: Spark does so where it
+    measures the side to be under the session's limit, and splits skewed
+    partitions of the sort-merge joins that remain.
     """
     joined = fact
     for dimension, on, how in dimensions:
-        joined = joined.join(dimension, on if isinstance(on, (str, Column)) else list(on), how)
+        if how == "left_many":
+            joined = fan_out_join(joined, dimension, [on] if isinstance(on, str) else on)
+        else:
+            by = on if isinstance(on, (str, Column)) else list(on)
+            joined = joined.join(dimension, by, how)
     return joined
+
+
+def fan_out_join(
+    fact: DataFrame, many: DataFrame, on: Sequence[str], keys: DataFrame | None = None
+) -> DataFrame:
+    """Left join to a frame in which a key may have a large share of all rows.
+
+    Adaptive execution never splits the right side of a left join. So the right
+    side gets an empty row for each fact key that it lacks, found on distinct
+    keys, and the join is an inner one, of which either side can be split.
+    ``keys`` may name a frame with at least the fact's keys that is cheaper to
+    read than the fact, which is otherwise evaluated twice.
+    """
+    present = many.dropna(subset=list(on))
+    wanted = (fact if keys is None else keys).select(*on).distinct()
+    lacking = wanted.join(present.select(*on).distinct(), list(on), "left_anti")
+    complete = present.unionByName(lacking, allowMissingColumns=True)
+    names = {column: f"_many_{column}" for column in on}
+    same = all_of(F.col(column).eqNullSafe(F.col(name)) for column, name in names.items())
+    return fact.join(complete.withColumnsRenamed(names), same).drop(*names.values())

@@ -6,7 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions import clean_text, matches, minutes_or, sentinel
-from larder.operators import enrich, hierarchical_mean_fill, pad_to_schema, rule_filter
+from larder.operators import (
+    enrich,
+    fan_out_join,
+    hierarchical_mean_fill,
+    pad_to_schema,
+    rule_filter,
+)
 from larder.plans import fixed_values as fixed
 from larder.plans.schema import BUSINESS_SCHEMA
 from larder.sources import stage
@@ -45,6 +51,10 @@ def total_minutes() -> Column:
     )
 
 
+USAGE_KEYS = ["recipe_code", "market"]
+NUTRITION_KEYS = ["id", "market"]
+
+
 def pool_recipes(
     poolable: DataFrame,
     costs: DataFrame,
@@ -55,50 +65,66 @@ def pool_recipes(
     """One row per pool recipe, cost currency, usage region and nutrition segment.
 
     Every rule asks for a positive cost, so recipes are first joined to their
-    costs and filtered; only what is left is joined to the rest. Missing scores
-    are filled with the mean over pool rows of the same protein, all markets
-    together, which needs the joined rows twice, so they are staged.
+    costs and filtered; only what is left is joined to the rest.
+
+    Missing scores become the mean over the pool rows of the same protein, all
+    markets together. How many pool rows a recipe will have follows from the
+    number of its usage and nutrition rows, so the means are taken with those as
+    weights, on staged recipes, before the rows themselves are joined on.
     """
+    usage = usage.select(
+        "recipe_code",
+        F.col("country_final_id").alias("market"),
+        "last_used",
+        "next_used",
+        "absolute_last_used",
+        "is_newrecipe",
+        "is_newscheduled",
+    )
+    nutrition = nutrition.select(
+        F.col("recipe_id").alias("id"),
+        F.col("country_final_id").alias("market"),
+        "energy",
+        "carbs",
+    )
+    scores = scores.select(
+        F.col("mainrecipecode").alias("recipe_code"),
+        F.lower("country").alias("market"),
+        "scorescm",
+        "scorewoscm",
+    )
     eligible = rule_filter(poolable.join(costs, ["unique_recipe_code", "market"]), pool_rules())
-    rows = enrich(
+    counted = enrich(
         eligible,
         [
-            (
-                usage.select(
-                    "recipe_code",
-                    F.col("country_final_id").alias("market"),
-                    "last_used",
-                    "next_used",
-                    "absolute_last_used",
-                    "is_newrecipe",
-                    "is_newscheduled",
-                ),
-                ["recipe_code", "market"],
-                "left",
-            ),
-            (
-                nutrition.select(
-                    F.col("recipe_id").alias("id"),
-                    F.col("country_final_id").alias("market"),
-                    "energy",
-                    "carbs",
-                ),
-                ["id", "market"],
-                "left",
-            ),
-            (
-                scores.select(
-                    F.col("mainrecipecode").alias("recipe_code"),
-                    F.lower("country").alias("market"),
-                    "scorescm",
-                    "scorewoscm",
-                ),
-                ["recipe_code", "market"],
-                "left",
-            ),
+            (scores, USAGE_KEYS, "left"),
+            (_row_counts(usage, USAGE_KEYS, "usage_rows"), USAGE_KEYS, "left"),
+            (_row_counts(nutrition, NUTRITION_KEYS, "nutrition_rows"), NUTRITION_KEYS, "left"),
         ],
     )
-    named = rows.withColumnsRenamed(
+    one = F.lit(1)
+    pool_rows = F.coalesce("usage_rows", one) * F.coalesce("nutrition_rows", one)
+    staged = stage(counted.withColumn("pool_rows", pool_rows), "pool")
+    scored = hierarchical_mean_fill(
+        staged,
+        {"scorescm": "scorescm", "scorewoscm": "scorewoscm"},
+        ["primary_protein", "main_protein"],
+        fixed.MISSING_SCORE,
+        flags={"scorewoscm": "isscorereplace"},
+        weight=F.col("pool_rows"),
+    )
+    rows = fan_out_join(scored, usage, USAGE_KEYS, keys=staged)
+    rows = fan_out_join(rows, nutrition, NUTRITION_KEYS, keys=staged)
+    return pad_to_schema(_named(rows), BUSINESS_SCHEMA, {"source": "Recipe Pool"})
+
+
+def _row_counts(df: DataFrame, keys: list[str], out: str) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    """Output names and the columns computed row by row."""
+    return rows.withColumnsRenamed(
         {
             "id": "recipe_id",
             "unique_recipe_code": "uniquerecipecode",
@@ -131,14 +157,5 @@ def pool_recipes(
             "totaltime": total_minutes(),
             "cost2p_current": F.round("cost2p_current", 2),
             "cost2p_next": F.round("cost2p_next", 2),
-            "isscorereplace": F.when(F.col("scorewoscm").isNull(), 1).otherwise(0),
         }
     )
-    staged = stage(pad_to_schema(named, BUSINESS_SCHEMA, {"source": "Recipe Pool"}), "pool")
-    scored = hierarchical_mean_fill(
-        staged,
-        {"scorescm": "scorescm", "scorewoscm": "scorewoscm"},
-        ["primaryprotein", "mainprotein"],
-        fixed.MISSING_SCORE,
-    )
-    return scored.select(*BUSINESS_SCHEMA.fieldNames())

@@ -2,7 +2,8 @@
 
 Every order is a recipe version, its customer the recipe, every order line a
 picklist row, a SKU price, a score, a recipe price and a menu slot. The same SQL
-text runs in Spark and, as common table expressions, in the checking engine.
+text runs in Spark and, as common table expressions, in the checking engine;
+names in braces stand for the frames it reads.
 
 Prices are multiples of 8 so that their means stay clear of rounding ties.
 """
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from larder.sources import stage
 from workload.tables import table
 
 AS_OF = "1998-05-15"
@@ -47,7 +49,7 @@ _BASE = {
                 else 'ca' end as mkt,
             cast(extract(month from o_orderdate) as int) as omonth,
             cast(extract(day from o_orderdate) as int) as oday
-        from orders o join customer c on o.o_custkey = c.c_custkey""",
+        from {{orders}} o join {{customer}} c on o.o_custkey = c.c_custkey""",
     "recipe_lines": f"""
         select l.*, r.rid, r.rcode, r.ucode, r.mkt,
             case when r.mkt in ('benelux', 'fr') then 'beneluxfr' else r.mkt end as sku_mkt,
@@ -55,9 +57,9 @@ _BASE = {
             'SKU' || cast(l_partkey as string) as sku_code,
             8 * floor(l_extendedprice / 800) as unit_price,
             {_week('l_shipdate')} as ship_week
-        from lineitem l
-            join recipe_orders r on l.l_orderkey = r.o_orderkey
-            join part p on l.l_partkey = p.p_partkey""",
+        from {{lineitem}} l
+            join {{recipe_orders}} r on l.l_orderkey = r.o_orderkey
+            join {{part}} p on l.l_partkey = p.p_partkey""",
 }
 
 _TABLES = {
@@ -76,7 +78,7 @@ _TABLES = {
             cast(case when l_returnflag = 'R' then 0 else l_quantity end as bigint)
                 as rating_count_wscm,
             ship_week as delivery_week
-        from recipe_lines""",
+        from {recipe_lines}""",
     "recipe_usage": """
         select mkt as market,
             case mkt when 'dkse' then case c_mktsegment when 'MACHINERY' then 'se'
@@ -89,10 +91,10 @@ _TABLES = {
                 as absolute_last_used,
             case when c_mktsegment <> 'BUILDING' then 0 end as is_newrecipe,
             case when c_mktsegment <> 'AUTOMOBILE' then 1 end as is_newscheduled
-        from recipe_orders group by mkt, c_mktsegment, rcode
+        from {recipe_orders} group by mkt, c_mktsegment, rcode
         union all
         select distinct mkt, 'no', rcode, 'x', 'y', 'z', 1, 0
-        from recipe_orders where mkt = 'dkse'""",
+        from {recipe_orders} where mkt = 'dkse'""",
     "segment_nutrition": """
         select mkt as market,
             case mkt when 'dkse' then case o_orderstatus when 'F' then 'SE' when 'O' then 'NO'
@@ -101,11 +103,11 @@ _TABLES = {
             rid as recipe_id,
             case when omonth = 3 then 0.0 else floor(o_totalprice / 1000) end as energy,
             cast(case when omonth <> 4 then oday end as double) as carbs
-        from recipe_orders
+        from {recipe_orders}
         union all
-        select mkt, 'NO', 'NO', rid, 500.0, 50.0 from recipe_orders where mkt = 'dkse'
+        select mkt, 'NO', 'NO', rid, 500.0, 50.0 from {recipe_orders} where mkt = 'dkse'
         union all
-        select mkt, 'DK', 'GB', rid, 600.0, 60.0 from recipe_orders where mkt = 'gb'""",
+        select mkt, 'DK', 'GB', rid, 600.0, 60.0 from {recipe_orders} where mkt = 'gb'""",
     "recipe_price": """
         select case mkt when 'dkse' then case l_returnflag when 'N' then 'NO' else 'SE' end
                 when 'gb' then 'GR' when 'benelux' then
@@ -117,13 +119,13 @@ _TABLES = {
             case when l_linestatus = 'F' then 2 else 4 end as size,
             case when l_linenumber < 7 then unit_price end as price,
             ship_week as delivery_week
-        from recipe_lines""",
+        from {recipe_lines}""",
     "calendar": f"""
         select {_day('d')} as date_string_backwards, {_week('d')} as delivery_week,
             cast(extract(year from d) * 53 + floor((extract(doy from d) - 1) / 7) as int)
                 as running_week,
             cast(extract(year from d) * 4 + extract(quarter from d) as int) as running_quarter
-        from (select l_shipdate as d from lineitem union select o_orderdate from orders) days""",
+        from (select l_shipdate as d from {{lineitem}} union select o_orderdate from {{orders}}) days""",
     "sku_price": """
         select case when l_tax = 0.08 then 'old' when mkt = 'fr' and p_type = 'PROMO'
                 and l_returnflag = 'R' then 'fr' else sku_mkt end
@@ -137,17 +139,17 @@ _TABLES = {
                 case l_linestatus when 'F' then 'SEK' else 'DKK' end else 'EUR' end as currency,
             case when l_linenumber < 7 then case when l_linenumber > 5 then 0.0
                 else unit_price end end as price
-        from recipe_lines""",
+        from {recipe_lines}""",
     "sku": """
         select distinct sku_mkt || ':' || cast(l_partkey as string) as id, sku_code as code,
             sku_mkt as market
-        from recipe_lines
+        from {recipe_lines}
         union all
         select distinct sku_mkt || ':b' || cast(l_partkey as string), sku_code, sku_mkt
-        from recipe_lines where p_brand = 'Brand#11'
+        from {recipe_lines} where p_brand = 'Brand#11'
         union all
         select distinct 'fr:' || cast(l_partkey as string), sku_code, 'fr'
-        from recipe_lines where mkt = 'fr' and p_type = 'PROMO'""",
+        from {recipe_lines} where mkt = 'fr' and p_type = 'PROMO'""",
     "recipe": """
         select rid as id, mkt as market, ucode as unique_recipe_code, rcode as recipe_code,
             cast(extract(year from o_orderdate) as int) as version,
@@ -192,7 +194,7 @@ _TABLES = {
             case oday when 5 then null when 6 then 'Add-On x' when 7 then 'addon'
                 else 'Standard' end as recipe_type,
             o_orderdate as created_at, o_orderdate as updated_at
-        from recipe_orders""",
+        from {recipe_orders}""",
     "picklist": """
         select rid as recipe_id, mkt as market,
             case mkt when 'dkse' then case l_returnflag when 'A' then 'SE' when 'N' then 'NO'
@@ -204,16 +206,16 @@ _TABLES = {
             p_name || chr(9) || p_brand || chr(10) as name,
             case when l_linestatus = 'F' then 2 else 4 end as size,
             case when l_linenumber < 7 then l_quantity end as pick_count
-        from recipe_lines""",
+        from {recipe_lines}""",
     "box_item": """
         select 'SKU' || cast(p_partkey as string) as code, cast(p_size as double) as boxitem
-        from part where p_type <> 'SMALL'
+        from {part} where p_type <> 'SMALL'
         union all
         select 'SKU' || cast(p_partkey as string), cast(p_size as double)
-        from part where p_brand = 'Brand#13'
+        from {part} where p_brand = 'Brand#13'
         union all
         select 'SKU' || cast(p_partkey as string), 7.0
-        from part where p_brand = 'Brand#12'""",
+        from {part} where p_brand = 'Brand#12'""",
     "menu": """
         select mkt as market,
             case mkt when 'dkse' then case l_returnflag when 'A' then 'se' when 'N' then 'no'
@@ -225,7 +227,7 @@ _TABLES = {
             ship_week as delivery_week,
             'M' || cast(l_orderkey as string) || '-' || cast(l_linenumber as string) as id,
             rid as recipe_id, ucode as unique_recipe_code
-        from recipe_lines""",
+        from {recipe_lines}""",
     "slot_preference": """
         select case when oday < 5 then null
                 when oday = 9 then 'Specials' when oday = 10 then 'unlisted'
@@ -240,21 +242,26 @@ _TABLES = {
                 as delivery_week,
             cast(extract(year from o_orderdate) as string) || '-Q' ||
                 cast(extract(quarter from o_orderdate) as string) as year_quarter
-        from recipe_orders""",
+        from {recipe_orders}""",
 }
 
 
 def market_tables(spark: SparkSession, sf_dir: str, *roles: str) -> dict[str, DataFrame]:
-    """The roles' frames, all of them when none is named."""
-    sources = {name: table(spark, sf_dir, name) for name in _DRIVER_TABLES}
-    named = ", ".join(f"{name} as (select * from {{{name}}})" for name in sources)
-    shared = ", ".join(f"{name} as ({sql})" for name, sql in _BASE.items())
-    return {
-        role: spark.sql(f"with {named}, {shared} {_TABLES[role]}", **sources)
-        for role in roles or _TABLES
-    }
+    """The roles' frames, all of them when none is named.
+
+    Order lines joined with their recipes are staged once when several roles
+    are cut from them.
+    """
+    wanted = {role: _TABLES[role] for role in roles or _TABLES}
+    frames = {name: table(spark, sf_dir, name) for name in _DRIVER_TABLES}
+    for name, sql in _BASE.items():
+        frames[name] = spark.sql(sql, **frames)
+    if sum("{recipe_lines}" in sql for sql in wanted.values()) > 1:
+        frames["recipe_lines"] = stage(frames["recipe_lines"], "lines")
+    return {role: spark.sql(sql, **frames) for role, sql in wanted.items()}
 
 
 def market_ctes() -> list[tuple[str, str]]:
     """The same tables as (name, SQL) for a WITH clause over the driver's views."""
-    return [*_BASE.items(), *_TABLES.items()]
+    names = {name: name for name in (*_DRIVER_TABLES, *_BASE)}
+    return [(name, sql.format(**names)) for name, sql in {**_BASE, **_TABLES}.items()]

@@ -422,11 +422,15 @@ def enrich_left(spark, sf_dir):
     from customer left join orders on c_custkey = o_custkey
         left join lineitem on o_orderkey = l_orderkey""")
 def enrich_fanout(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_custkey as c_custkey")
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey as o_orderkey", "l_linenumber", "l_partkey"
+    )
     joined = ops.enrich(
         table(spark, sf_dir, "customer"),
         [
-            (table(spark, sf_dir, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left"),
-            (table(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"), "left"),
+            (orders, "c_custkey", "left_many"),
+            (lines, "o_orderkey", "left_many"),
         ],
     )
     return joined.select("c_custkey", "c_name", "o_orderkey", "l_linenumber", "l_partkey")
