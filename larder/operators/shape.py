@@ -37,12 +37,12 @@ def pad_to_schema(
     A column comes from ``constants`` if named there, else from the frame, else
     it is a NULL of the schema's type.
     """
-    constants = constants or {}
+    constants, given = constants or {}, set(df.columns)
 
     def column(name: str) -> Column:
         if name in constants:
             return as_column(constants[name])
-        return F.col(name) if name in df.columns else F.lit(None)
+        return F.col(name) if name in given else F.lit(None)
 
     return df.select(*(column(f.name).cast(f.dataType).alias(f.name) for f in schema.fields))
 

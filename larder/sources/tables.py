@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from larder.sources.schemas import SOURCE_SCHEMAS, WEEK
 
@@ -34,9 +33,9 @@ def conform(tables: Tables, week_column: str = WEEK) -> dict[str, DataFrame]:
     """
     outside = {WEEK: week_column}
     return {
-        role: df.select(
+        role: df.selectExpr(
             *(
-                F.col(outside.get(f.name, f.name)).cast(f.dataType).alias(f.name)
+                f"cast(`{outside.get(f.name, f.name)}` as {f.dataType.simpleString()}) as {f.name}"
                 for f in SOURCE_SCHEMAS[role].fields
             )
         )
