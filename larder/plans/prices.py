@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions import any_of, first_match, ratio
@@ -35,23 +35,27 @@ def recipe_price_by_segment(
     )
 
 
+READINGS = ("shared", "france")
+WEIGHTS = [(reading, period) for reading in READINGS for period in ("current", "next")]
+
+
 def sku_prices(
     prices: DataFrame, skus: DataFrame, calendar: DataFrame, as_of: str | None = None
 ) -> DataFrame:
     """Mean price of each SKU in the current and in the next quarter.
 
-    One row per ``scope``, market, code, currency and pair of means. There are
-    three readings of a price row, all taken in one pass over the prices:
+    One row per ``scope``, market, code, currency and pair of means. Scope
+    ``market`` holds two readings of each price, which may differ, in which case
+    both rows stay:
 
-    * ``shared`` markets under their own name, the joint Benelux-France market
-      as ``benelux``; some markets and centers count in every quarter;
-    * the same with the joint market as ``fr``, where only that market counts in
-      every quarter. Both readings belong to scope ``market`` and may price a
-      SKU differently, in which case both rows stay;
-    * scope ``no``: the Norwegian center of the Danish-Swedish market, strictly
-      by quarter.
+    * ``shared``: the joint Benelux-France market is ``benelux``, and some
+      markets and centers count in every quarter;
+    * ``france``: the joint market is ``fr``, and only it counts in every quarter.
 
-    The next quarter's mean does not depend on the currency.
+    Scope ``no`` holds the Norwegian center of the Danish-Swedish market, strictly
+    by quarter. The next quarter's mean does not depend on the currency. All of
+    this is summed in one pass, with a weight per reading and quarter that says
+    how many calendar days a price counts for.
     """
     quarter = "running_quarter"
     now = calendar_now(calendar, "date_string_backwards", quarter, as_of)
@@ -73,73 +77,80 @@ def sku_prices(
         )
         .join(days, WEEK, "left")
         .na.fill({"all_days": 1, "current_days": 0, "next_days": 0})
+        .select("code", "currency", "price", F.inline(_weighted_targets()))
+        .filter(any_of(F.col(f"{reading}_{period}") > 0 for reading, period in WEIGHTS))
+    )
+
+    price = F.col("price")
+    sums = [F.sum(f"{reading}_current").alias(f"{reading}_days") for reading in READINGS]
+    for reading, period in WEIGHTS:
+        weight = F.col(f"{reading}_{period}")
+        sums += [
+            F.sum(price * weight).alias(f"{reading}_{period}_sum"),
+            F.sum(F.when(price.isNotNull(), weight)).alias(f"{reading}_{period}_count"),
+        ]
+    group = ["scope", "market", "code"]
+    summed = priced.groupBy(*group, "currency").agg(*sums)
+
+    # One row per currency is left, so this window's groups are tiny.
+    currencies = Window.partitionBy(*group)
+    known = F.col("market").isNotNull() & F.col("code").isNotNull()
+
+    def mean(column, over=lambda total: total):
+        return ratio(over(F.col(f"{column}_sum")), over(F.col(f"{column}_count")))
+
+    following_means = {
+        f"{reading}_next": F.when(
+            known, mean(f"{reading}_next", lambda column: F.sum(column).over(currencies))
+        )
+        for reading in READINGS
+    }
+    pairs = F.array(
+        *(
+            F.when(
+                F.col(f"{reading}_days") > 0,
+                F.struct(
+                    mean(f"{reading}_current").alias("current_quarter_avg_sku_price"),
+                    F.col(f"{reading}_next").alias("next_quarter_avg_sku_price"),
+                ),
+            )
+            for reading in READINGS
+        )
+    )
+    return summed.withColumns(following_means).select(
+        *group, "currency", F.inline(F.array_distinct(F.array_compact(pairs)))
     )
 
+
+def _weighted_targets() -> Column:
+    """Scopes and markets a price counts for, with its weight in each reading."""
     market, center = F.col("market"), F.col("distribution_center")
     joint = market == "beneluxfr"
     always = market.isin(*fixed.ALWAYS_PRICED_MARKETS) | any_of(
         (market == m) & (center == c) for m, c in fixed.ALWAYS_PRICED_CENTERS.items()
     )
+    zero, all_days = F.lit(0), F.col("all_days")
 
-    def reading(name, scope, label, every_quarter):
-        def weight(days_inside):
-            return F.when(every_quarter, F.col("all_days")).otherwise(F.col(days_inside))
-
+    def target(scope, label, shared, france):
+        weights = dict(zip(READINGS, (shared, france)))
         return F.struct(
-            F.lit(name).alias("reading"),
             F.lit(scope).alias("scope"),
             label.alias("market"),
-            weight("current_days").alias("current_weight"),
-            weight("next_days").alias("next_weight"),
-        )
-
-    readings = F.array_compact(
-        F.array(
-            reading("shared", "market", F.when(joint, "benelux").otherwise(market), always),
-            reading("france", "market", F.when(joint, "fr").otherwise(market), joint),
-            F.when(
-                (market == "dkse") & (center == fixed.NO_PRICE_CENTER),
-                reading("norway", "no", F.lit("no"), F.lit(False)),
+            *(
+                weights[reading](F.col(f"{period}_days")).alias(f"{reading}_{period}")
+                for reading, period in WEIGHTS
             ),
         )
-    )
-    price = F.col("price")
-
-    def weighed(weight):
-        return F.sum(price * F.col(weight)), F.sum(F.when(price.isNotNull(), F.col(weight)))
 
-    (current_sum, current_count), (next_sum, next_count) = map(
-        weighed, ("current_weight", "next_weight")
+    own = target(
+        "market",
+        F.when(joint, "benelux").otherwise(market),
+        shared=lambda inside: F.when(always, all_days).otherwise(inside),
+        france=lambda inside: F.when(joint, zero).otherwise(inside),
     )
-    group = ["reading", "scope", "market", "code"]
-    sums = (
-        priced.select("code", "currency", "price", F.inline(readings))
-        .filter("current_weight > 0 or next_weight > 0")
-        .groupBy(*group, "currency")
-        .agg(
-            F.sum("current_weight").alias("current_days"),
-            current_sum.alias("current_sum"),
-            current_count.alias("current_count"),
-            next_sum.alias("next_sum"),
-            next_count.alias("next_count"),
-        )
-    )
-    # One row per currency is left, so this window's groups are tiny.
-    currencies = Window.partitionBy(*group)
-    following_mean = ratio(
-        F.sum("next_sum").over(currencies), F.sum("next_count").over(currencies)
-    )
-    known = F.col("market").isNotNull() & F.col("code").isNotNull()
-    return (
-        sums.withColumn("next_quarter_avg_sku_price", F.when(known, following_mean))
-        .filter("current_days > 0")
-        .select(
-            "scope",
-            "market",
-            "code",
-            "currency",
-            ratio(F.col("current_sum"), F.col("current_count")).alias("current_quarter_avg_sku_price"),
-            "next_quarter_avg_sku_price",
-        )
-        .distinct()
+    french = target(
+        "market", F.lit("fr"), shared=lambda inside: zero, france=lambda inside: all_days
     )
+    norwegian = target("no", F.lit("no"), shared=lambda inside: inside, france=lambda inside: zero)
+    in_norway = (market == "dkse") & (center == fixed.NO_PRICE_CENTER)
+    return F.array_compact(F.array(own, F.when(joint, french), F.when(in_norway, norwegian)))
