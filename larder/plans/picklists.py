@@ -91,14 +91,17 @@ def _routed_skus(skus: DataFrame, sku_prices: DataFrame) -> DataFrame:
         skus.select("code", F.inline(targets))
         .groupBy("route", F.col("route_market").alias("market"), "code")
         .agg(F.count(F.lit(1)).alias("listings"))
+        .withColumn("scope", F.lit("market"))
     )
-    by_market = listed.join(
-        sku_prices.filter("scope = 'market'").drop("scope"), ["market", "code"], "left"
-    )
-    norway = sku_prices.filter("scope = 'no'").select(
-        F.lit(NORWAY).alias("route"), "*", F.lit(1).cast("long").alias("listings")
+    # Listed SKUs may lack a price. Prices of unlisted SKUs count in Norway only.
+    # Both sides hold few rows per key, whatever the size of the tables.
+    either = listed.join(sku_prices, ["scope", "market", "code"], "full")
+    route = F.coalesce("route", F.when(F.col("scope") == "no", NORWAY))
+    return (
+        either.withColumns({"route": route, "listings": F.coalesce("listings", F.lit(1))})
+        .filter(F.col("route").isNotNull())
+        .drop("scope")
     )
-    return by_market.unionByName(norway.drop("scope"))
 
 
 def picklist_costs(
