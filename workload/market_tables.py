@@ -19,6 +19,7 @@ AS_OF = "1998-05-15"
 SLOT_YEARS_AFTER = "1996"
 RECIPE_PRICE_WEEKS = ("1997-W30", "1997-W43")
 
+_READ_OFTEN = ("calendar", "sku")
 _DRIVER_TABLES = ("customer", "orders", "lineitem", "part")
 
 
@@ -250,7 +251,8 @@ def market_tables(spark: SparkSession, sf_dir: str, *roles: str) -> dict[str, Da
     """The roles' frames, all of them when none is named.
 
     Order lines joined with their recipes are staged once when several roles
-    are cut from them.
+    are cut from them. So are the tables of distinct rows that plans read more
+    than once.
     """
     wanted = {role: _TABLES[role] for role in roles or _TABLES}
     frames = {name: table(spark, sf_dir, name) for name in _DRIVER_TABLES}
@@ -258,7 +260,8 @@ def market_tables(spark: SparkSession, sf_dir: str, *roles: str) -> dict[str, Da
         frames[name] = spark.sql(sql, **frames)
     if sum("{recipe_lines}" in sql for sql in wanted.values()) > 1:
         frames["recipe_lines"] = stage(frames["recipe_lines"], "lines")
-    return {role: spark.sql(sql, **frames) for role, sql in wanted.items()}
+    cut = {role: spark.sql(sql, **frames) for role, sql in wanted.items()}
+    return {role: stage(df, role) if role in _READ_OFTEN else df for role, df in cut.items()}
 
 
 def market_ctes() -> list[tuple[str, str]]:

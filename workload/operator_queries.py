@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder import operators as ops
+from larder.sources import stage
 from larder.sources.schemas import schema_of
 from workload.tables import configure, table
 
@@ -201,16 +202,14 @@ _MEAN = "cast(sum(price) as double) / count(price)"
 
 
 def _calendar(spark, sf_dir):
+    """The days that have orders; staged, as it is read several times."""
     day = F.col("o_orderdate")
-    return (
-        table(spark, sf_dir, "orders")
-        .select(
-            F.date_format(day, "yyyy-MM-dd").alias("day"),
-            F.date_format(day, "yyyy-MM").alias("label"),
-            (F.year(day) * 4 + F.quarter(day)).alias("period"),
-        )
-        .distinct()
+    days = table(spark, sf_dir, "orders").select(
+        F.date_format(day, "yyyy-MM-dd").alias("day"),
+        F.date_format(day, "yyyy-MM").alias("label"),
+        (F.year(day) * 4 + F.quarter(day)).alias("period"),
     )
+    return stage(days.distinct(), "calendar")
 
 
 def _prices(spark, sf_dir):
@@ -227,8 +226,7 @@ def _prices(spark, sf_dir):
     return lines.join(supplier, "l_suppkey", "left")
 
 
-def _period_mean(spark, sf_dir, out, offset=0, always=None):
-    calendar = _calendar(spark, sf_dir)
+def _period_mean(spark, sf_dir, calendar, out, offset=0, always=None):
     return ops.period_average(
         _prices(spark, sf_dir),
         calendar,
@@ -251,7 +249,7 @@ def calendar_now(spark, sf_dir):
     with {_CALENDAR} select market, code, {_MEAN} as mean_price from days
     where period = (select period from today) group by all""")
 def period_average_strict(spark, sf_dir):
-    return _period_mean(spark, sf_dir, "mean_price")
+    return _period_mean(spark, sf_dir, _calendar(spark, sf_dir), "mean_price")
 
 
 @checked_by(f"""
@@ -260,7 +258,7 @@ def period_average_strict(spark, sf_dir):
     group by all""")
 def period_average_or_scope(spark, sf_dir):
     always = F.col("market").isin(3, 4) & (F.col("flag") == "R")
-    return _period_mean(spark, sf_dir, "mean_price", always=always)
+    return _period_mean(spark, sf_dir, _calendar(spark, sf_dir), "mean_price", always=always)
 
 
 @checked_by(f"""
@@ -272,8 +270,9 @@ def period_average_or_scope(spark, sf_dir):
     select distinct cur.*, next_price from cur
         left join nxt on cur.market = nxt.market and cur.code = nxt.code""")
 def period_compare(spark, sf_dir):
-    current = _period_mean(spark, sf_dir, "current_price")
-    following = _period_mean(spark, sf_dir, "next_price", offset=1)
+    calendar = _calendar(spark, sf_dir)
+    current = _period_mean(spark, sf_dir, calendar, "current_price")
+    following = _period_mean(spark, sf_dir, calendar, "next_price", offset=1)
     return ops.period_compare(current, following, ["market", "code"])
 
 
@@ -300,9 +299,8 @@ def range_average(spark, sf_dir):
     where number >= (select number - 7 from today)""")
 def recent_window(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
-    calendar = events.select(
-        "day", F.date_diff("day", F.lit("2024-01-01")).alias("number")
-    ).distinct()
+    days = events.select("day", F.date_diff("day", F.lit("2024-01-01")).alias("number"))
+    calendar = stage(days.distinct(), "calendar")
     return ops.recent_window(
         events,
         calendar,
