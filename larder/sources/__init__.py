@@ -1,7 +1,7 @@
 """Input tables: their schemas, binding to a catalog or files, and staging."""
 
 from larder.sources.schemas import SOURCE_SCHEMAS, WEEK
-from larder.sources.staging import stage
+from larder.sources.staging import new_path, stage, unstage
 from larder.sources.tables import Tables, conform, read_tables
 
-__all__ = ["SOURCE_SCHEMAS", "WEEK", "Tables", "conform", "read_tables", "stage"]
+__all__ = ["SOURCE_SCHEMAS", "WEEK", "Tables", "conform", "new_path", "read_tables", "stage", "unstage"]

@@ -2,32 +2,31 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
-
-
-@cache
-def _local_dir(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"larder-{application}-")
+_WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names for intermediate data.
+    """A folder that all executors share, for intermediate data.
 
-    Only a local session without that setting gets a temporary folder, as every
-    task of it sees the same disk.
+    The folder that the setting ``spark.checkpoint.dir`` or ``setCheckpointDir``
+    names; without one, the session's warehouse, which is shared as well. Never
+    a machine's own temporary folder.
     """
-    named = spark.conf.get(_CHECKPOINT_DIR, None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder that all executors share")
-    return _local_dir(spark.sparkContext.applicationId)
+    return (
+        spark.conf.get(_CHECKPOINT_DIR, None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get(_WAREHOUSE_DIR)
+    )
+
+
+def new_path(spark: SparkSession, label: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{shared_dir(spark).rstrip('/')}/larder/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -37,6 +36,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     executors, real size statistics, and lets readers prune columns.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/larder/{label}-{uuid.uuid4().hex}"
+    path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Remove the files of staged frames that nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        mine = f"{shared_dir(spark).rstrip('/')}/larder/"
+        jvm = spark.sparkContext._jvm
+        folders = {file.rpartition("/")[0] for file in df.inputFiles()}
+        for folder in folders:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            if mine.removeprefix("file://") in f"{path.toUri().getPath()}/":
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +17,7 @@ def local_session(cores: str | None = None) -> SparkSession:
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", os.environ.get("CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="larder-"))
         # Otherwise PySpark takes a stack trace for every column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()

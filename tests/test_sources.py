@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from conftest import rows
 
-from larder.sources import SOURCE_SCHEMAS, conform, read_tables, stage
+from larder.sources import SOURCE_SCHEMAS, conform, read_tables, stage, unstage
 from larder.sources.staging import shared_dir
 
 
@@ -34,4 +36,23 @@ def test_stage_writes_to_the_shared_folder(spark, frame):
     staged = stage(frame("a int, b string", (1, "x"), (2, None)), "test")
     assert rows(staged) == [(1, "x"), (2, None)]
     assert all(shared_dir(spark) in file for file in staged.inputFiles())
-    assert shared_dir(spark) == shared_dir(spark)
+    unstage(staged)
+    assert not [file for file in staged.inputFiles() if Path(file.removeprefix("file://")).exists()]
+
+
+def test_unstage_leaves_other_files(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/own")
+    df = spark.read.parquet(f"{tmp_path}/own")
+    unstage(df)
+    assert df.count() == 3
+
+
+def test_no_machine_local_folder_without_a_checkpoint_folder(spark):
+    class Bare:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda name, default=None: {"spark.sql.warehouse.dir": "s3://w"}.get(name, default))
+
+        class sparkContext:  # noqa: N801
+            getCheckpointDir = staticmethod(lambda: None)
+
+    assert shared_dir(Bare) == "s3://w"
