@@ -14,6 +14,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 _SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 3
+#: Low bits of a sorted window's hash that hold its place.
+_PLACE_BITS = 24
+_PLACES = (1 << _PLACE_BITS) - 1
 
 #: Frequent function words of the languages the rules are meant for.
 STOP_WORDS = (
@@ -55,57 +58,92 @@ def _without(text: Column, chars: str) -> Column:
     return F.length(F.translate(text, chars, ""))
 
 
-def _same(a: Column, b: Column) -> Column:
-    return (a["h"] == b["h"]) & (a["w"] == b["w"])
+def _window_equal(w: Column, a: Column, b: Column) -> Column:
+    return reduce(and_, (F.get(w, a + k) == F.get(w, b + k) for k in range(WINDOW)))
+
+
+def _hash(w: Column, at: Column) -> Column:
+    return F.xxhash64(*(F.get(w, at + k) for k in range(WINDOW)))
+
+
+def _place(packed: Column) -> Column:
+    return packed.bitwiseAND(F.lit(_PLACES)).cast("int")
+
+
+def _repeats_by_hash(w: Column, s: Column) -> Column:
+    """Places of windows equal to a neighbour in sorted ``s``: hash above, place below."""
+
+    def equal(x: Column, y: Column) -> Column:
+        near = F.shiftright(x.bitwiseXOR(y), _PLACE_BITS) == 0
+        return F.coalesce(near, F.lit(False)) & _window_equal(w, _place(x), _place(y))
+
+    marked = F.transform(s, lambda x, i: F.when(equal(x, F.get(s, i - 1)) | equal(x, F.get(s, i + 1)), _place(x)))
+    return F.sort_array(F.filter(marked, lambda at: at.isNotNull()))
+
+
+def _repeats_by_words(w: Column) -> Column:
+    """The same from windows sorted as words, for texts in which hashes collide."""
+    last = F.size(w) - WINDOW
+    rows = F.transform(
+        F.sequence(F.lit(0), last),
+        lambda i: F.struct(*(F.get(w, i + k).alias(f"w{k}") for k in range(WINDOW)), i.alias("at")),
+    )
+
+    def marks(s: Column) -> Column:
+        def equal(x: Column, y: Column) -> Column:
+            return F.coalesce(reduce(and_, (x[f"w{k}"] == y[f"w{k}"] for k in range(WINDOW))), F.lit(False))
+
+        return F.transform(s, lambda x, i: F.when(equal(x, F.get(s, i - 1)) | equal(x, F.get(s, i + 1)), x["at"]))
+
+    marked = F.get(F.transform(F.array(F.sort_array(rows)), marks), F.lit(0))
+    return F.sort_array(F.filter(marked, lambda at: at.isNotNull()))
 
 
 def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     """``(row, one, n_words, word_chars, n_symbols, ...)``: the counts of every text.
 
     ``row`` holds all columns of ``docs``. No shuffle and no user function:
-    three-word windows are sorted within their document, so that equal ones are
-    neighbours; windows are compared by hash first and then word by word.
+    three-word windows are sorted by hash within their document, so that equal ones
+    are neighbours, and neighbours are compared word by word.
     """
     body, w = F.col("body"), F.col("words")
     split = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("body"))
     split = split.select("row", "body", words(body).alias("words"))
     lines = F.filter(F.split(body, "\n"), lambda line: _without(line, _SPACES) > 0)
     last = F.size(w) - WINDOW
-    window = F.transform(
+    packed = F.transform(
         F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.struct(
-            F.xxhash64(*(F.get(w, i + k) for k in range(WINDOW))).alias("h"),
-            F.struct(*(F.get(w, i + k).alias(f"w{k}") for k in range(WINDOW))).alias("w"),
-            i.alias("at"),
-        ),
+        lambda i: _hash(w, i).bitwiseAND(F.lit(~_PLACES)).bitwiseOR(i.cast("long")),
     )
     counted = split.select(
         "row",
         F.lit(1).cast("long").alias("one"),
         F.size(w).cast("long").alias("n_words"),
-        _without(body, _SPACES).cast("long").alias("word_chars"),
+        F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
         (F.length(body) - _without(body, SYMBOLS)).cast("long").alias("n_symbols"),
-        (F.length(body) - _without(body, "!")).cast("long").alias("n_shouts"),
+        (F.length(body) - F.length(F.replace(body, F.lit("!"), F.lit("")))).cast("long").alias("n_shouts"),
         F.size(F.filter(w, lambda word: F.lower(word).isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
+        w,
         lines.alias("lines"),
-        F.array_sort(window).alias("windows"),
+        F.sort_array(packed).alias("windows"),
     )
     s = F.col("windows")
-    again = F.transform(
-        s,
-        lambda x, i: F.when(
-            F.coalesce(_same(F.get(s, i - 1), x), F.lit(False)) | F.coalesce(_same(F.get(s, i + 1), x), F.lit(False)),
-            x["at"],
-        ),
+    # Neighbours with one hash but different words; then equal windows need not be neighbours.
+    collides = F.exists(
+        F.sequence(F.lit(1), F.size(s) - 1),
+        lambda i: (F.shiftright(F.get(s, i).bitwiseXOR(F.get(s, i - 1)), _PLACE_BITS) == 0)
+        & ~_window_equal(w, _place(F.get(s, i)), _place(F.get(s, i - 1))),
     )
+    unsafe = (F.size(s) > _PLACES) | ((F.size(s) > 1) & collides)
+    counted = counted.withColumn("again", F.when(unsafe, _repeats_by_words(w)).otherwise(_repeats_by_hash(w, s)))
     covered = F.aggregate(
-        F.array_sort(F.filter(again, lambda at: at.isNotNull())),
+        F.col("again"),
         F.struct(F.lit(-WINDOW).alias("at"), F.lit(0).cast("long").alias("n")),
         lambda done, at: F.struct(at.alias("at"), (done["n"] + F.least(F.lit(WINDOW), at - done["at"])).alias("n")),
         lambda done: done["n"],
     )
     return counted.select(
-        *(c for c in counted.columns if c not in ("lines", "windows")),
+        *(c for c in counted.columns if c not in ("words", "lines", "windows", "again")),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         covered.alias("n_repeat_words"),
