@@ -34,3 +34,75 @@ def groups(prints: list[int], distance: int) -> list[int]:
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
     return [find(i) for i in range(len(prints))]
+
+
+def duplicated_bytes(texts: list[bytes], length: int) -> list[tuple[set[int], set[int]]]:
+    """For each text the bytes in strings that start anywhere else, and in strings that start earlier."""
+    seen: dict[bytes, list[tuple[int, int]]] = {}
+    for row, text in enumerate(texts):
+        for at in range(len(text) - length + 1):
+            seen.setdefault(text[at : at + length], []).append((row, at))
+    anywhere, earlier = [set() for _ in texts], [set() for _ in texts]
+    for places in seen.values():
+        for i, (row, at) in enumerate(places):
+            if len(places) > 1:
+                anywhere[row].update(range(at, at + length))
+            if i:
+                earlier[row].update(range(at, at + length))
+    return list(zip(anywhere, earlier, strict=True))
+
+
+def runs(places: set[int]) -> list[tuple[int, int]]:
+    edges = sorted(p for p in places if p - 1 not in places), sorted(p + 1 for p in places if p + 1 not in places)
+    return list(zip(*edges, strict=True))
+
+
+def edit_distance(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def simhash_of_words(words: list[str]) -> int:
+    hashes = [xxhash.xxh64(w.encode(), seed=42).intdigest() for w in words]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def kept_lines(docs: list[tuple[int, str | None]], min_words: int, distance: int, similarity: float) -> dict[int, str | None]:
+    """Texts without the lines that repeat or resemble an earlier kept group's first."""
+    places = [(doc, pos, line) for doc, text in sorted(docs) for pos, line in enumerate((text or "").split("\n"))]
+    norms: dict[str, tuple] = {}
+    for doc, pos, line in places:
+        words = WORD.findall(line.lower())
+        if len(words) >= min_words:
+            norms.setdefault(" ".join(words), (doc, pos))
+    names = list(norms)
+    prints = [simhash_of_words(n.split(" ")) for n in names]
+    root = list(range(len(names)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(names)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= distance:
+                longer = max(len(names[i]), len(names[j]))
+                if edit_distance(names[i], names[j]) <= int(longer * (1 - similarity) + 1e-9):
+                    a, b = find(i), find(j)
+                    root[max(a, b)] = min(a, b)
+    stays = {norms[names[find(i)]] for i in range(len(names))}
+    result = {}
+    for doc, text in docs:
+        if text is None:
+            result[doc] = None
+            continue
+        lines = text.split("\n")
+        result[doc] = "\n".join(
+            line for pos, line in enumerate(lines) if len(WORD.findall(line)) < min_words or (doc, pos) in stays
+        )
+    return result
