@@ -8,6 +8,7 @@ from larder.operators.calendar import (
     period_compare,
     range_average,
     recent_window,
+    today,
 )
 from larder.operators.codes import remap_codes, replicate_segment
 from larder.operators.fill import clean_columns, duration_total, hierarchical_mean_fill, sentinel_fill
@@ -45,5 +46,6 @@ __all__ = [
     "stack",
     "tag_by_rules",
     "tag_list",
+    "today",
     "weighted_mean",
 ]

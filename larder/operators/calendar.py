@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.functions import ratio
+from larder.functions import all_of, ratio
+
+
+def today(spark: SparkSession) -> str:
+    """The session's day, ``yyyy-MM-dd``, taken once."""
+    return spark.range(1).select(F.date_format(F.current_timestamp(), "yyyy-MM-dd")).first()[0]
 
 
 def calendar_now(
@@ -19,8 +24,8 @@ def calendar_now(
     when omitted. A day the calendar lacks gives NULL. Call ``.scalar()`` on the
     result to use it in another frame's expression.
     """
-    today = F.date_format(F.current_timestamp(), "yyyy-MM-dd")
-    on_day = calendar.filter(F.col(day) == (today if as_of is None else F.lit(as_of)))
+    as_of = today(calendar.sparkSession) if as_of is None else as_of
+    on_day = calendar.filter(F.col(day) == F.lit(as_of))
     return on_day.agg((F.max(period) + F.lit(offset)).alias(period))
 
 
@@ -95,9 +100,35 @@ def range_average(
     return inside.groupBy(*keys).agg(day_weighted_mean(value, F.lit(1)).alias(out))
 
 
-def period_compare(current: DataFrame, following: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct rows of ``current``, with what ``following`` holds for the same keys."""
-    return current.join(following, list(keys), "left").distinct()
+def period_compare(
+    facts: DataFrame,
+    calendar: DataFrame,
+    *,
+    label: str,
+    period: str,
+    now: DataFrame,
+    following: DataFrame,
+    keys: Sequence[str],
+    value: Column,
+    current_out: str,
+    following_out: str,
+) -> DataFrame:
+    """Mean of ``value`` per key over one period, beside its mean over another.
+
+    A key without facts in the period ``now`` has no row; one without facts in
+    ``following``, or with a NULL in the key, has NULL there. As in
+    ``period_average`` a fact counts once for each of its label's days. The facts
+    are read once, with a weight per period.
+    """
+    inside = {"_now": F.col(period) == now.scalar(), "_following": F.col(period) == following.scalar()}
+    days = label_days(calendar, label, inside, "_days").filter("_now + _following > 0")
+    known = all_of(F.col(key).isNotNull() for key in keys)
+    means = facts.join(days, label).groupBy(*keys).agg(
+        F.sum("_now").alias("_now"),
+        day_weighted_mean(value, F.col("_now")).alias(current_out),
+        day_weighted_mean(value, F.col("_following")).alias("_next"),
+    )
+    return means.filter("_now > 0").select(*keys, current_out, F.when(known, F.col("_next")).alias(following_out))
 
 
 def recent_window(

@@ -70,7 +70,8 @@ def pool_recipes(
     Missing scores become the mean over the pool rows of the same protein, all
     markets together. How many pool rows a recipe will have follows from the
     number of its usage and nutrition rows, so the means are taken with those as
-    weights, on staged recipes, before the rows themselves are joined on.
+    weights, on staged recipes, before the rows themselves are joined on. The
+    same numbers tell which recipes have no usage or nutrition.
     """
     usage = usage.select(
         "recipe_code",
@@ -113,8 +114,8 @@ def pool_recipes(
         flags={"scorewoscm": "isscorereplace"},
         weight=F.col("pool_rows"),
     )
-    rows = fan_out_join(scored, usage, USAGE_KEYS, keys=staged)
-    rows = fan_out_join(rows, nutrition, NUTRITION_KEYS, keys=staged)
+    rows = fan_out_join(scored, usage, USAGE_KEYS, F.col("usage_rows").isNotNull())
+    rows = fan_out_join(rows, nutrition, NUTRITION_KEYS, F.col("nutrition_rows").isNotNull())
     return pad_to_schema(_named(rows), BUSINESS_SCHEMA, {"source": "Recipe Pool"})
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.operators import explode_tags, stack
+from larder.operators import explode_tags, stack, today
 from larder.operators.shape import ordered
 from larder.plans import fixed_values as fixed
 from larder.plans.demand import demand_recipes, slot_preferences
@@ -29,7 +29,8 @@ def recipe_pool(
     """Pool recipes and demanded menu slots, one row per preference tag.
 
     ``tables`` maps the roles of ``SOURCE_SCHEMAS`` to frames. ``as_of`` is the
-    day ``yyyy-MM-dd`` that counts as today. ``week_column`` is the name of the
+    day ``yyyy-MM-dd`` that counts as today in all of the result; the session's
+    day at the time of the call if omitted. ``week_column`` is the name of the
     week column in the tables and in the result. ``sort`` orders the result by
     country and recipe code; leave it out when writing to files.
 
@@ -37,9 +38,11 @@ def recipe_pool(
     result itself is lazy.
     """
     t = conform(tables, week_column)
+    as_of = as_of or today(t["recipe"].sparkSession)
     ready = stage(ready_recipes(t["recipe"]), "ready")
     prices = sku_prices(t["sku_price"], t["sku"], t["calendar"], as_of)
-    costs = picklist_costs(ready, t["picklist"], t["sku"], prices, t["box_item"])
+    # Costs are looked up by code, so recipes without one need none.
+    costs = picklist_costs(ready.dropna(subset=["unique_recipe_code"]), t["picklist"], t["sku"], prices, t["box_item"])
     pool = pool_recipes(
         poolable_recipes(ready),
         costs,

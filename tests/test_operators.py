@@ -157,16 +157,24 @@ def test_enrich_keeps_fan_out(frame):
     assert rows(ops.enrich(fact, [(many, "k", "inner")])) == [(1, "a", "x"), (1, "a", "y")]
 
 
-@pytest.mark.parametrize("with_keys", [False, True])
-def test_fan_out_join_equals_left_join(spark, with_keys):
+@pytest.mark.parametrize("told", [False, True])
+def test_fan_out_join_equals_left_join(spark, told):
     rng = random.Random(3)
     pick = lambda n: [(rng.choice([None, 1, 2, 3, 4]), rng.choice([None, "a", "b"]), i) for i in range(n)]
     fact = spark.createDataFrame(pick(40), "k int, m string, v int")
     many = spark.createDataFrame([r for r in pick(40) if r[0] != 4], "k int, m string, w int")
-    keys = fact.union(fact) if with_keys else None
-    out = ops.fan_out_join(fact, many, ["k", "m"], keys=keys)
+    has = {(r.k, r.m) for r in many.collect()}
+    present = F.concat_ws("", "k", "m").isin(*(f"{k}{m}" for k, m in has if k and m)) if told else None
+    out = ops.fan_out_join(fact, many, ["k", "m"], present)
     plain = fact.join(many, ["k", "m"], "left").select(*out.columns)
     assert rows(out) == rows(plain)
+    assert out.columns == ["k", "m", "v", "w"]
+
+
+def test_left_many_takes_columns_only(frame):
+    fact = frame("k int", (1,))
+    with pytest.raises(TypeError, match="left_many"):
+        ops.enrich(fact, [(frame("j int", (1,)), F.col("k") == F.col("j"), "left_many")])
 
 
 # --- calendar ---
@@ -227,9 +235,31 @@ def test_range_average_takes_both_ends(frame):
     assert rows(out) == [(1, 2.0)]
 
 
-def test_period_compare_keeps_current_without_next(frame):
-    current = frame("k int, c double", (1, 1.0), (1, 1.0), (2, 2.0))
-    assert rows(ops.period_compare(current, frame("k int, n double", (1, 5.0)), ["k"])) == [(1, 1.0, 5.0), (2, 2.0, None)]
+def test_period_compare_keeps_current_without_next(frame, calendar):
+    facts = frame(
+        "k int, label string, v double",
+        (1, "W13", 2.0),
+        (1, "W14", 5.0),
+        (2, "W13", 4.0),
+        (2, "W13", None),
+        (3, "W27", 9.0),
+        (4, "W99", 9.0),
+        (None, "W13", 1.0),
+        (None, "W27", 1.0),
+    )
+    out = ops.period_compare(
+        facts,
+        calendar,
+        label="label",
+        period="quarter",
+        now=ops.calendar_now(calendar, "day", "quarter", "2024-04-01"),
+        following=ops.calendar_now(calendar, "day", "quarter", "2024-04-01", offset=1),
+        keys=["k"],
+        value=F.col("v"),
+        current_out="c",
+        following_out="n",
+    )
+    assert rows(out) == sorted([(1, 3.5, None), (2, 4.0, None), (None, 1.0, None)], key=repr)
 
 
 def test_recent_window_has_no_upper_bound(frame, calendar):

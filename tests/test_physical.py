@@ -89,6 +89,22 @@ def test_hot_keys_of_a_fan_out_join_are_split(spark, tmp_path, hot_side):
         assert len(joined.collect()) == expected
 
 
+def test_chained_fan_out_joins_read_linearly(spark, tmp_path):
+    for name in ("fact", "many"):
+        spark.range(5).select(F.col("id").alias("k"), F.col("id").alias(name)).write.parquet(f"{tmp_path}/{name}")
+    fact, many = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("fact", "many"))
+    scans = []
+    for n in range(1, 5):
+        joined = ops.enrich(fact, [(many.withColumnRenamed("many", f"m{i}"), "k", "left_many") for i in range(n)])
+        scans.append(plan(joined).count("Scan parquet"))
+    assert scans == [3, 5, 7, 9]
+
+
+def test_period_compare_reads_its_facts_once(spark):
+    text = plan(operator_queries.period_compare(spark, SF_DIR))
+    assert text.split("Subquery")[0].count("lineitem.parquet") == 1
+
+
 def test_sort_spreads_a_hot_key(spark):
     df = spark.range(0, 4000, 1, 4).select(F.lit("GB").alias("k"), "id")
     with settings(spark, adaptive__coalescePartitions__enabled="false"):

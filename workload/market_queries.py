@@ -85,7 +85,7 @@ def market_pool_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready = stage(plans.ready_recipes(recipes), "ready")
     pool = plans.pool_recipes(
         plans.poolable_recipes(ready),
-        _costs(spark, sf_dir, ready),
+        _costs(spark, sf_dir, ready.dropna(subset=["unique_recipe_code"])),
         plans.recipe_usage(usage),
         plans.recipe_nutrition(nutrition),
         plans.recipe_scores(scores),

@@ -226,13 +226,13 @@ def _prices(spark, sf_dir):
     return lines.join(supplier, "l_suppkey", "left")
 
 
-def _period_mean(spark, sf_dir, calendar, out, offset=0, always=None):
+def _period_mean(spark, sf_dir, calendar, out, always=None):
     return ops.period_average(
         _prices(spark, sf_dir),
         calendar,
         label="label",
         period="period",
-        now=ops.calendar_now(calendar, "day", "period", AS_OF, offset),
+        now=ops.calendar_now(calendar, "day", "period", AS_OF),
         keys=["market", "code"],
         value=F.col("price"),
         out=out,
@@ -271,9 +271,18 @@ def period_average_or_scope(spark, sf_dir):
         left join nxt on cur.market = nxt.market and cur.code = nxt.code""")
 def period_compare(spark, sf_dir):
     calendar = _calendar(spark, sf_dir)
-    current = _period_mean(spark, sf_dir, calendar, "current_price")
-    following = _period_mean(spark, sf_dir, calendar, "next_price", offset=1)
-    return ops.period_compare(current, following, ["market", "code"])
+    return ops.period_compare(
+        _prices(spark, sf_dir),
+        calendar,
+        label="label",
+        period="period",
+        now=ops.calendar_now(calendar, "day", "period", AS_OF),
+        following=ops.calendar_now(calendar, "day", "period", AS_OF, offset=1),
+        keys=["market", "code"],
+        value=F.col("price"),
+        current_out="current_price",
+        following_out="next_price",
+    )
 
 
 @checked_by(f"""
