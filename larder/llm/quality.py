@@ -9,6 +9,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.native import let
+
 #: Words are maximal runs of other characters than these.
 WORD = r"[^\x20\x09-\x0D]+"
 _SPACES = " \t\n\x0b\f\r"
@@ -95,63 +97,69 @@ def _repeats_by_words(w: Column) -> Column:
 
         return F.transform(s, lambda x, i: F.when(equal(x, F.get(s, i - 1)) | equal(x, F.get(s, i + 1)), x["at"]))
 
-    marked = F.get(F.transform(F.array(F.sort_array(rows)), marks), F.lit(0))
+    marked = let(F.sort_array(rows), marks)
     return F.sort_array(F.filter(marked, lambda at: at.isNotNull()))
 
 
-def measures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(row, one, n_words, word_chars, n_symbols, ...)``: the counts of every text.
-
-    ``row`` holds all columns of ``docs``. No shuffle and no user function:
-    three-word windows are sorted by hash within their document, so that equal ones
-    are neighbours, and neighbours are compared word by word.
-    """
-    body, w = F.col("body"), F.col("words")
-    split = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("body"))
-    split = split.select("row", "body", words(body).alias("words"))
-    lines = F.filter(F.split(body, "\n"), lambda line: _without(line, _SPACES) > 0)
+def _repeated_places(w: Column) -> Column:
+    """Places, in order, of the windows that occur more than once in an array of words."""
     last = F.size(w) - WINDOW
     packed = F.transform(
         F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>")),
         lambda i: _hash(w, i).bitwiseAND(F.lit(~_PLACES)).bitwiseOR(i.cast("long")),
     )
-    counted = split.select(
-        "row",
-        F.lit(1).cast("long").alias("one"),
-        F.size(w).cast("long").alias("n_words"),
-        F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-        (F.length(body) - _without(body, SYMBOLS)).cast("long").alias("n_symbols"),
-        (F.length(body) - F.length(F.replace(body, F.lit("!"), F.lit("")))).cast("long").alias("n_shouts"),
-        F.size(F.filter(w, lambda word: F.lower(word).isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
-        w,
-        lines.alias("lines"),
-        F.sort_array(packed).alias("windows"),
-    )
-    s = F.col("windows")
-    # Neighbours with one hash but different words; then equal windows need not be neighbours.
-    collides = F.exists(
-        F.sequence(F.lit(1), F.size(s) - 1),
-        lambda i: (F.shiftright(F.get(s, i).bitwiseXOR(F.get(s, i - 1)), _PLACE_BITS) == 0)
-        & ~_window_equal(w, _place(F.get(s, i)), _place(F.get(s, i - 1))),
-    )
-    unsafe = (F.size(s) > _PLACES) | ((F.size(s) > 1) & collides)
-    counted = counted.withColumn("again", F.when(unsafe, _repeats_by_words(w)).otherwise(_repeats_by_hash(w, s)))
+
+    def places(s: Column) -> Column:
+        # Neighbours with one hash but different words; then equal windows need not be neighbours.
+        collides = F.exists(
+            F.sequence(F.lit(1), F.size(s) - 1),
+            lambda i: (F.shiftright(F.get(s, i).bitwiseXOR(F.get(s, i - 1)), _PLACE_BITS) == 0)
+            & ~_window_equal(w, _place(F.get(s, i)), _place(F.get(s, i - 1))),
+        )
+        unsafe = (F.size(s) > _PLACES) | ((F.size(s) > 1) & collides)
+        return F.when(unsafe, _repeats_by_words(w)).otherwise(_repeats_by_hash(w, s))
+
+    return let(F.sort_array(packed), places)
+
+
+def _counts(body: Column, w: Column, lines: Column) -> Column:
     covered = F.aggregate(
-        F.col("again"),
+        _repeated_places(w),
         F.struct(F.lit(-WINDOW).alias("at"), F.lit(0).cast("long").alias("n")),
         lambda done, at: F.struct(at.alias("at"), (done["n"] + F.least(F.lit(WINDOW), at - done["at"])).alias("n")),
         lambda done: done["n"],
     )
-    return counted.select(
-        *(c for c in counted.columns if c not in ("words", "lines", "windows", "again")),
-        F.size("lines").cast("long").alias("n_lines"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        covered.alias("n_repeat_words"),
-    )
+    counts = {
+        "one": F.lit(1),
+        "n_words": F.size(w),
+        "word_chars": F.length(F.array_join(w, "")),
+        "n_symbols": F.length(body) - _without(body, SYMBOLS),
+        "n_shouts": F.length(body) - F.length(F.replace(body, F.lit("!"), F.lit(""))),
+        "n_stop_words": F.size(F.filter(w, lambda word: F.lower(word).isin(*STOP_WORDS))),
+        "n_lines": F.size(lines),
+        "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+        "n_repeat_words": covered,
+    }
+    return F.struct(*(count.cast("long").alias(name) for name, count in counts.items()))
+
+
+def measures(text: Column) -> Column:
+    """All counts of a text, as a struct of longs.
+
+    One expression, without shuffle or user function: three-word windows are
+    sorted by hash within their document, so that equal ones are neighbours, and
+    neighbours are compared word by word.
+    """
+
+    def counts(body: Column) -> Column:
+        lines = F.filter(F.split(body, "\n"), lambda line: _without(line, _SPACES) > 0)
+        return let(words(body), lambda w: let(lines, lambda own: _counts(body, w, own)))
+
+    return let(F.coalesce(text, F.lit("")), counts)
 
 
-def _holds(rule: Rule) -> Column:
-    count, per = (F.col(c).cast("double") for c in (rule.count, rule.per))
+def _holds(rule: Rule, counts: Column) -> Column:
+    count, per = (counts[c].cast("double") for c in (rule.count, rule.per))
     checks = []
     if rule.low is not None:
         checks.append(count >= per * F.lit(float(rule.low)))
@@ -160,21 +168,32 @@ def _holds(rule: Rule) -> Column:
     return reduce(and_, checks)
 
 
+def verdict(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """``(counts, base_failed, kept)`` of a text: the threshold table as one expression.
+
+    Null and empty texts have counts of zero and fail. A line counts as repeated
+    if it holds a word and equals an earlier one.
+    """
+
+    def judged(counts: Column) -> Column:
+        base, every = (reduce(and_, (_holds(rule, counts) for rule in table)) for table in (BASE, rules))
+        return F.struct(counts.alias("counts"), (~base).alias("base_failed"), (base & every).alias("kept"))
+
+    return let(measures(text), judged)
+
+
 def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``measures`` with ``base_failed`` and ``kept``, for every row of ``docs``.
+    """``(row, n_words, ..., base_failed, kept)`` for every row of ``docs``.
 
-    Null and empty texts have counts of zero and fail. Repeated rows are judged
-    alike. A line counts as repeated if it holds a word and equals an earlier one.
+    ``row`` holds all columns of ``docs``. Repeated rows are judged alike.
     """
-    base = ~reduce(and_, map(_holds, BASE))
-    return measures(docs, text).withColumns(
-        {"base_failed": base, "kept": ~base & reduce(and_, map(_holds, rules))}
-    )
+    judged = docs.select(F.struct("*").alias("row"), verdict(F.col(text), rules).alias("v"))
+    return judged.select("row", "v.counts.*", "v.base_failed", "v.kept")
 
 
 def passing(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that all rules keep, with their own columns."""
-    return judge(docs, text, rules).where("kept").select("row.*")
+    return docs.where(verdict(F.col(text), rules)["kept"])
 
 
 def _limits_sql(rule: Rule) -> str:

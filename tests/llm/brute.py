@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from os.path import commonprefix
 
 import xxhash
 
@@ -58,6 +59,9 @@ def runs(places: set[int]) -> list[tuple[int, int]]:
 
 
 def edit_distance(a: str, b: str) -> int:
+    a, b = a.removeprefix(start := commonprefix([a, b])), b.removeprefix(start)
+    end = len(commonprefix([a[::-1], b[::-1]]))
+    a, b = a[: len(a) - end], b[: len(b) - end]
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         before, row[0] = row[0], i

@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+import pytest
+from compare import open_duckdb
+from llm import brute
+from llm.test_tokens import library
+
+import corpus_pipeline
+from larder.llm import lines, mixing, quality, queries
+from larder.sources import stage
+
+
+@pytest.fixture(scope="module")
+def stages(spark, sf_dir):
+    """The rows before the first stage and after each."""
+    docs = queries.table(spark, sf_dir, "documents")
+    frames = [docs]
+    for name, function in corpus_pipeline.STAGES:
+        frames.append(stage(function(spark, frames[-1], sf_dir), name))
+    return frames
+
+
+def rows(df):
+    return sorted(df.collect(), key=lambda r: r.doc_id)
+
+
+def test_stage_names_and_columns(stages):
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality_rules", "line_dedup", "near_dedup", "source_mix", "bpe_round_trip"
+    ]
+    assert all(sorted(df.columns) == sorted(stages[0].columns) for df in stages[1:-1])
+    assert all(df.count() for df in stages)
+
+
+def test_quality_stage(stages, sf_dir):
+    kept = open_duckdb(sf_dir).execute(f"select doc_id from ({quality.oracle_sql()}) where kept").fetchall()
+    assert [r.doc_id for r in rows(stages[1])] == sorted(i for (i,) in kept)
+
+
+def test_line_stage(stages):
+    before = {r.doc_id: r.text for r in stages[1].collect()}
+    wanted = brute.kept_lines(list(before.items()), lines.MIN_WORDS, lines.DISTANCE, lines.SIMILARITY)
+    alive = {i: t for i, t in wanted.items() if t == before[i] or brute.WORD.search(t)}
+    assert {r.doc_id: r.text for r in stages[2].collect()} == alive
+    assert all(r.n_chars == len(r.text) for r in stages[2].collect())
+
+
+def test_near_duplicate_stage(stages):
+    before = rows(stages[2])
+    roots = brute.groups([brute.fingerprint(r.text) for r in before], 3)
+    assert [r.doc_id for r in rows(stages[3])] == [r.doc_id for i, r in enumerate(before) if roots[i] == i]
+
+
+def test_mix_stage(stages, sf_dir):
+    duck = open_duckdb(sf_dir)
+    before = stages[3].toPandas()
+    duck.register("kept", before)
+    wanted = {i: taken // size for i, size, taken in duck.execute(
+        f"select doc_id, size, taken from ({mixing.oracle_sql('kept')}) where taken > 0").fetchall()}
+    assert Counter(r.doc_id for r in stages[4].collect()) == wanted
+
+
+def test_token_stage(stages):
+    own = library()
+    before, after = rows(stages[4]), rows(stages[5])
+    assert [r.doc_id for r in before] == [r.doc_id for r in after]
+    for was, now in zip(before, after, strict=True):
+        ids = own.encode_ordinary(was.text)
+        assert (now.n_tokens, now.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+        assert now.decoded_sha256 == hashlib.sha256(was.text.encode()).hexdigest()
+
+
+def test_run_is_all_stages(spark, sf_dir, stages):
+    assert rows(corpus_pipeline.run(spark, sf_dir)) == rows(stages[-1])
+
+
+def test_empty_table(spark, stages):
+    docs = stages[0].limit(0)
+    for _, function in corpus_pipeline.STAGES:
+        docs = stage(function(spark, docs, ""), "empty")
+    assert docs.count() == 0
+
+
+def test_odd_rows(spark, stages):
+    prose = " ".join(f"the word{i} of item{i * 7} and" for i in range(30))
+    odd = [(None, prose, None, None, None), (1, None, None, "a", 1), (2, "", "en", "a", 0), (3, prose, "en", "b", 5), (3, prose, "en", "b", 5), (4, prose + " x", "en", "c", 5), (5, "z " * 200_000, "en", "c", 5)]
+    docs = spark.createDataFrame(odd, "doc_id long, text string, lang string, source string, n_chars long")
+    for _, function in corpus_pipeline.STAGES:
+        docs = stage(function(spark, docs, ""), "odd")
+    assert {r.doc_id for r in docs.collect()} <= {None, 3, 4}
