@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder import operators as ops
-from workload import operator_queries
+from workload import market_queries, operator_queries
 from workload.tables import table
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -45,6 +45,32 @@ def test_no_cross_join_python_or_forced_broadcast(spark, name):
         assert unwanted not in text
 
 
+# Scans of the driver's tables and of staged frames in the last job of each query.
+MARKET_SCANS = {
+    "market_scores": 4,
+    "market_usage": 4,
+    "market_nutrition": 6,
+    "market_sku_prices": 6,
+    "market_ready_recipes": 4,
+    "market_picklist_costs": 14,
+    "market_pool_recipes": 8,
+    "market_menu_window": 7,
+    "market_demand_recipes": 9,
+    "recipe_pool": 24,
+}
+
+
+@pytest.mark.parametrize("name", sorted(MARKET_SCANS))
+def test_market_plans(spark, name):
+    with settings(spark, autoBroadcastJoinThreshold="-1"):
+        text = plan(market_queries.QUERIES[name](spark, SF_DIR))
+    for unwanted in ("CartesianProduct", "NestedLoopJoin", "BroadcastHashJoin", "Python", "Pandas"):
+        assert unwanted not in text
+    assert text.count("Scan parquet") <= MARKET_SCANS[name]
+    for unread in ("l_suppkey", "l_comment", "o_comment", "c_address"):
+        assert unread not in "".join(part.split(">")[0] for part in text.split("ReadSchema: ")[1:])
+
+
 @pytest.mark.parametrize("name", ["explode_tags", "tag_list", "replicate_segment", "weighted_mean"])
 def test_one_scan(spark, name):
     assert plan(operator_queries.QUERIES[name](spark, SF_DIR)).count("Scan parquet") == 1

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import importlib
+
 import pytest
 from conftest import rows
 from market_fixture import AS_OF, build, calendar_rows, market
@@ -552,3 +554,23 @@ def test_week_column_name(tables, pool):
     out = plans.recipe_pool(renamed, AS_OF, week_column="my_week")
     assert out.columns == [c.replace("delivery_week", "my_week") for c in pool.columns]
     assert rows(out) == rows(pool)
+
+
+def test_one_day_counts_as_today_everywhere(tables, pool, monkeypatch):
+    """Without ``as_of`` the day is taken once, before anything is planned."""
+    days = iter([AS_OF, "2024-06-30"])
+    module = importlib.import_module("larder.plans.recipe_pool")
+    monkeypatch.setattr(module, "today", lambda spark: next(days))
+    out = plans.recipe_pool(tables, sort=False)
+    assert "current_timestamp" not in out._jdf.queryExecution().toString()
+    assert rows(out) == rows(out) == rows(pool)
+
+
+def test_recipes_without_a_code_share_no_cost(make, calendar):
+    recipes = make("recipe", *({"id": f"r{i}", "unique_recipe_code": None} for i in range(50)), {"id": "a", "unique_recipe_code": "C-1"})
+    lines = make("picklist", *({"recipe_id": f"r{i}", "code": f"S{i}"} for i in range(50)), {"recipe_id": "a", "code": "S1"})
+    skus = make("sku", {"id": "s1", "code": "S1"})
+    prices = plans.sku_prices(make("sku_price", {"culinary_sku_id": "s1"}), skus, calendar, AS_OF)
+    ready = plans.ready_recipes(recipes).dropna(subset=["unique_recipe_code"])
+    costs = plans.picklist_costs(ready, lines, skus, prices, make("box_item"))
+    assert {r.unique_recipe_code for r in costs.collect()} == {"C-1"}

@@ -38,7 +38,8 @@ def _day(day: str) -> str:
 
 _BASE = {
     "recipe_orders": f"""
-        select o.*, c.c_name, c.c_mktsegment,
+        select o_orderkey, o_orderdate, o_orderstatus, o_orderpriority, o_totalprice,
+            c_name, c_mktsegment,
             'R' || cast(o_orderkey as string) as rid,
             'RC' || cast(o_custkey as string) as rcode,
             case o_orderpriority when '1-URGENT' then 'A' when '2-HIGH' then 'MOD' else 'RC' end
@@ -52,9 +53,10 @@ _BASE = {
             cast(extract(day from o_orderdate) as int) as oday
         from {{orders}} o join {{customer}} c on o.o_custkey = c.c_custkey""",
     "recipe_lines": f"""
-        select l.*, r.rid, r.rcode, r.ucode, r.mkt,
+        select l_orderkey, l_linenumber, l_partkey, l_returnflag, l_linestatus, l_quantity,
+            l_tax, l_discount, r.rid, r.rcode, r.ucode, r.mkt,
             case when r.mkt in ('benelux', 'fr') then 'beneluxfr' else r.mkt end as sku_mkt,
-            p.p_name, p.p_brand, p.p_type, p.p_size,
+            p.p_name, p.p_brand, p.p_type,
             'SKU' || cast(l_partkey as string) as sku_code,
             8 * floor(l_extendedprice / 800) as unit_price,
             {_week('l_shipdate')} as ship_week
@@ -250,16 +252,21 @@ _TABLES = {
 def market_tables(spark: SparkSession, sf_dir: str, *roles: str) -> dict[str, DataFrame]:
     """The roles' frames, all of them when none is named.
 
-    Order lines joined with their recipes are staged once when several roles
-    are cut from them. So are the tables of distinct rows that plans read more
-    than once.
+    Orders joined with their customers, and order lines joined with those, are
+    staged once when several roles are cut from them. So are the tables of
+    distinct rows that plans read more than once.
     """
     wanted = {role: _TABLES[role] for role in roles or _TABLES}
     frames = {name: table(spark, sf_dir, name) for name in _DRIVER_TABLES}
+    lines, orders = (
+        [role for role, sql in wanted.items() if "{" + base + "}" in sql]
+        for base in ("recipe_lines", "recipe_orders")
+    )
+    readers = {"recipe_orders": len(orders) + bool(lines), "recipe_lines": len(lines)}
     for name, sql in _BASE.items():
         frames[name] = spark.sql(sql, **frames)
-    if sum("{recipe_lines}" in sql for sql in wanted.values()) > 1:
-        frames["recipe_lines"] = stage(frames["recipe_lines"], "lines")
+        if readers[name] > 1:
+            frames[name] = stage(frames[name], name)
     cut = {role: spark.sql(sql, **frames) for role, sql in wanted.items()}
     return {role: stage(df, role) if role in _READ_OFTEN else df for role, df in cut.items()}
 
