@@ -71,7 +71,8 @@ def edit_distance(a: str, b: str) -> int:
 
 
 def simhash_of_words(words: list[str]) -> int:
-    hashes = [xxhash.xxh64(w.encode(), seed=42).intdigest() for w in words]
+    pairs = {f"{a} {b}" for a, b in zip(words, words[1:], strict=False)} or set(words)
+    hashes = [xxhash.xxh64(w.encode(), seed=42).intdigest() for w in pairs]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
