@@ -6,8 +6,7 @@ that both have to agree on what a row counts for.
 
 from __future__ import annotations
 
-from larder.plans import fixed_values as fixed
-from larder.plans.schema import BUSINESS_SCHEMA
+from workload import expected_values as fixed
 from workload.market_tables import AS_OF, RECIPE_PRICE_WEEKS, SLOT_YEARS_AFTER, market_ctes
 
 
@@ -178,10 +177,10 @@ _SQL_TYPES = {"string": "varchar", "integer": "int", "long": "bigint"}
 
 
 def _demand_select() -> str:
+    columns = (column.split() for column in fixed.RESULT_COLUMNS.split(", "))
     return ", ".join(
-        f"cast({_DEMAND_COLUMNS.get(f.name, 'null')} as "
-        f"{_SQL_TYPES.get(f.dataType.typeName(), f.dataType.typeName())}) as {f.name}"
-        for f in BUSINESS_SCHEMA.fields
+        f"cast({_DEMAND_COLUMNS.get(name, 'null')} as {_SQL_TYPES.get(kind, kind)}) as {name}"
+        for name, kind in columns
     )
 
 
