@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.sources import stage
+from larder.sources import stage, unstage
 
 LENGTH = 400
 #: Bytes of the strings that anchor windows, at most; of a block that is hashed at a time.
@@ -18,6 +18,9 @@ GRAM, BLOCK = 64, 1 << 19
 #: Contexts with one anchor that a task takes together, and bytes of a suffix array.
 GROUP, ARRAY = 512, 1 << 20
 
+#: Windows per range, from level to level, where an anchor has more contexts.
+_RANGE_SIZES = (64, 16, 4, 1)
+
 _POSITION = 20  # bits of a place within a block and the windows behind it
 _U = np.uint64
 
@@ -82,7 +85,9 @@ def _blocks(texts: list[bytes], length: int):
 
 
 def _anchored(texts: list[bytes], length: int) -> list[np.ndarray]:
-    """Runs of windows with one anchor: ``(row, lo, hi, anchor, k1, k2)``, as columns.
+    """Runs of windows with one anchor: ``(row, lo, hi, gap, anchor, k1, k2)``, as columns.
+
+    The anchor's place is ``lo + gap``; ``k1`` and ``k2`` name all bytes of the run.
 
     A window is a string of ``length`` bytes, named by its start. Its anchor is the
     place in it whose short string hashes lowest, the leftmost of equals. Equal
@@ -107,9 +112,9 @@ def _anchored(texts: list[bytes], length: int) -> list[np.ndarray]:
             shift = _mix(((at - starts) << 32 | (hi - lo)).astype(np.uint64))
             k1, k2 = first.of(starts, ends) ^ shift, second.of(starts, ends) ^ shift
             rows = np.full(len(lo), row)
-            found.append((rows, offset + lo, offset + hi, grams[at].view(np.int64), k1.view(np.int64), k2.view(np.int64)))
+            found.append((rows, offset + lo, offset + hi, at - starts, grams[at].view(np.int64), k1.view(np.int64), k2.view(np.int64)))
     if not found:
-        return [np.zeros(0, np.int64)] * 6
+        return [np.zeros(0, np.int64)] * 7
     return [np.concatenate(column) for column in zip(*found, strict=True)]
 
 
@@ -154,29 +159,28 @@ def _ranges(flags: np.ndarray) -> list[dict]:
 
 _RANGES = "array<struct<from: int, to: int>>"
 _ARROW_RANGES = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())]))
-_CLASS = ("anchor", "k1", "k2")
+_CLASS, _PLACE = ("anchor", "k1", "k2"), ("d1", "d2", "lo")
 
 
 def _by_suffix_array(contexts: DataFrame, length: int) -> DataFrame:
-    """``(anchor, k1, k2, earlier, any)``: which windows of a context occur in others of its anchor."""
+    """``(d1, d2, lo, earlier, any)``: which windows of a context occur in others of its anchor."""
 
     def flush(group: list[tuple]):
-        text = np.frombuffer(b"".join(row[3] for row in group), np.uint8)
-        begins = np.cumsum([0, *(len(row[3]) for row in group)])
+        text = np.frombuffer(b"".join(row[-1] for row in group), np.uint8)
+        begins = np.cumsum([0, *(len(row[-1]) for row in group)])
         counts = np.diff(begins) - length + 1
         places = np.concatenate([np.arange(b, b + n) for b, n in zip(begins, counts, strict=False)])
         earlier, later = factors(suffix_ranks(text, length), places)
         cuts = np.cumsum(counts)[:-1]
-        columns = [pa.array([row[i] for row in group], pa.int64()) for i in range(3)]
+        columns = [pa.array([row[i] for row in group], pa.int64()) for i in range(3, 6)]
         for flags in (earlier, earlier | later):
             columns.append(pa.array([_ranges(f) for f in np.split(flags, cuts)], _ARROW_RANGES))
-        return pa.RecordBatch.from_arrays(columns, [*_CLASS, "earlier", "any"])
+        return pa.RecordBatch.from_arrays(columns, [*_PLACE, "earlier", "any"])
 
     def work(batches):
         def rows():
             for batch in batches:
-                names = [batch.column(c).to_pylist() for c in _CLASS]
-                yield from zip(*names, batch.column("bytes").to_pylist(), strict=True)
+                yield from zip(*(batch.column(c).to_pylist() for c in (*_CLASS, *_PLACE, "bytes")), strict=True)
 
         group, size = [], 0
         for _, same in groupby(rows(), key=lambda row: row[0]):
@@ -188,37 +192,74 @@ def _by_suffix_array(contexts: DataFrame, length: int) -> DataFrame:
                 if row[1:3] not in seen:  # rows that are repeated in the input
                     seen.add(row[1:3])
                     group.append(row)
-                    size += len(row[3])
+                    size += len(row[-1])
         if group:
             yield flush(group)
 
     ordered = contexts.repartition("anchor").sortWithinPartitions("anchor", "doc", "d1", "d2", "lo")
-    schema = f"anchor long, k1 long, k2 long, earlier {_RANGES}, any {_RANGES}"
-    return ordered.select(*_CLASS, "bytes").mapInArrow(work, schema)
-
-
-def _by_window(contexts: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with many contexts: one row per window, counted by its hash."""
-
-    @F.arrow_udf("array<struct<h1: long, h2: long>>")
-    def hashed(values: pa.Array) -> pa.Array:
-        rows = []
-        for value in values:
-            block = np.frombuffer(value.as_buffer(), np.uint8)
-            starts = np.arange(len(block) - length + 1)
-            both = [_Hashes(block, s).of(starts, starts + length).view(np.int64).tolist() for s in (1, 2)]
-            rows.append([{"h1": a, "h2": b} for a, b in zip(*both, strict=True)])
-        return pa.array(rows, pa.list_(pa.struct([("h1", pa.int64()), ("h2", pa.int64())])))
-
-    order = ("doc", "d1", "d2", "lo")
-    windows = contexts.select(*_CLASS, *order, F.posexplode(hashed("bytes")).alias("at", "h"))
-    windows = stage(windows.select(*_CLASS, "at", "h.h1", "h.h2", F.struct(*order, "at").alias("place")), "windows")
-    counted = windows.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.max("place").alias("last"))
-    shared = stage(counted.where(~F.col("first").eqNullSafe(F.col("last"))).drop("last"), "shared-windows")
-    marked = windows.join(shared, ["h1", "h2"])
-    one = F.struct(F.col("at").alias("from"), F.col("at").alias("to"))
-    later = F.when(~F.col("place").eqNullSafe(F.col("first")), one)
-    return marked.groupBy(*_CLASS).agg(F.collect_set(later).alias("earlier"), F.collect_set(one).alias("any"))
+    schema = f"d1 long, d2 long, lo long, earlier {_RANGES}, any {_RANGES}"
+    return ordered.select(*_CLASS, *_PLACE, "bytes").mapInArrow(work, schema)
+
+
+def _slice(start: Column, end: Column) -> Column:
+    return F.substring("bytes", (start + 1).cast("int"), (end - start).cast("int"))
+
+
+def _by_halving(contexts: DataFrame, length: int) -> DataFrame:
+    """The same, one row per range, for anchors with many contexts: without gathering any.
+
+    Ranges of windows, by distance from the anchor, are compared as wholes. What all
+    windows of a range share is its core, all their bytes are its hull. Contexts
+    with equal hulls repeat each other in the whole range. Contexts
+    whose core no other has share no window of it. Of each hull one context goes on to
+    the next smaller ranges, if other hulls have the same core.
+    """
+    names = ("range", "c1", "c2", "h1", "h2", "near", "far")
+    rows = contexts.select("anchor", "doc", *_PLACE, "hi", "gap", "bytes").dropDuplicates([*_PLACE, "hi"])
+    sizes = [size for size in _RANGE_SIZES if size < length]
+    spread = F.sequence(F.floor((F.col("gap") - F.col("hi") + F.col("lo")) / sizes[0]), F.floor(F.col("gap") / sizes[0]))
+    rows = stage(rows.withColumn("range", F.explode(spread)), "ranges")
+    found = rows.select(*_PLACE, F.lit(True).alias("later"), F.col("lo").alias("from"), F.col("lo").alias("to")).limit(0)
+    for size, smaller in zip(sizes, [*sizes[1:], None], strict=True):
+        if rows.isEmpty():
+            break
+        first, gap = F.col("range") * size, F.col("gap")
+        core = _slice(gap - first, gap - first - (size - 1) + length)
+        hull = _slice(gap - F.col("far"), gap - F.col("near") + length)
+        keyed = rows.withColumns(
+            {
+                "near": F.greatest(first, gap - F.col("hi") + F.col("lo")),
+                "far": F.least(first + (size - 1), gap),
+            }
+        ).withColumns(
+            {
+                "c1": F.xxhash64(core),
+                "c2": F.xxhash64(F.lit("core"), core),
+                "h1": F.xxhash64(hull),
+                "h2": F.xxhash64(F.lit("hull"), hull),
+                "place": F.struct("doc", *_PLACE),
+            }
+        )
+        keyed = stage(keyed, "ranges")
+        hulls = stage(keyed.groupBy("anchor", *names).agg(F.count("*").alias("n"), F.min("place").alias("least")), "hulls")
+        cores = hulls.groupBy("anchor", *names[:3]).agg(F.count("*").alias("others")).where("others > 1")
+        cores = stage(cores.withColumn("open", F.lit(True)).drop("others"), "cores")
+        known = stage(hulls.join(cores, ["anchor", *names[:3]], "left").where("n > 1 or open"), "known")
+        done = stage(keyed.join(known, ["anchor", *names]), "ranges")
+        is_first = F.col("place").eqNullSafe(F.col("least"))
+        found = found.unionByName(
+            done.where("n > 1").select(*_PLACE, (~is_first).alias("later"), (gap - F.col("far")).alias("from"), (gap - F.col("near")).alias("to"))
+        )
+        if smaller:
+            parts = F.sequence(F.col("range") * (size // smaller), F.col("range") * (size // smaller) + (size // smaller - 1))
+            going = done.where(F.col("open") & is_first).select("anchor", "doc", *_PLACE, "hi", "gap", "bytes", F.explode(parts).alias("range"))
+            first = F.col("range") * smaller
+            within = (first <= gap) & (first + (smaller - 1) >= gap - F.col("hi") + F.col("lo"))
+            rows = stage(going.where(within), "ranges")
+    one = F.struct(F.col("from").cast("int").alias("from"), F.col("to").cast("int").alias("to"))
+    return found.groupBy(*_PLACE).agg(
+        F.collect_set(F.when(F.col("later"), one)).alias("earlier"), F.collect_set(one).alias("any")
+    )
 
 
 def _identity(key: str, text: str) -> list[Column]:
@@ -240,9 +281,11 @@ def repeated_spans(
     bytes of its run of windows, are compared as wholes by their 128-bit hash, which settles
     all but the ends of repetitions. Where an anchor has different contexts, one of
     each goes to a suffix array, in which longest previous factors are cut at
-    ``length``. An anchor with more than ``GROUP`` contexts is not gathered: its
-    windows are counted by hash, one row each.
+    ``length``. An anchor with more than ``GROUP`` contexts is not gathered: ranges
+    of its windows are compared by hash, and only their ends more finely.
     """
+    if keep not in ("first", "none"):
+        raise ValueError("keep must be 'first' or 'none'")
     kind = docs.schema[key].dataType.simpleString()
     arrow_kind = docs.select(key).limit(0).toArrow().schema.field(0).type
 
@@ -251,43 +294,42 @@ def repeated_spans(
             texts = [(t.as_py() or b"") for t in batch.column("text")]
             rows, *numbers = _anchored(texts, length)
             names = [batch.column(c).take(pa.array(rows)) for c in ("doc", "d1", "d2")]
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-            columns = [pa.array(x, k) for x, k in zip(numbers, kinds, strict=True)]
+            columns = [pa.array(x, pa.int64()) for x in numbers]
             yield pa.RecordBatch.from_arrays(
-                [names[0].cast(arrow_kind), *names[1:], *columns], ["doc", "d1", "d2", "lo", "hi", *_CLASS]
+                [names[0].cast(arrow_kind), *names[1:], *columns], ["doc", "d1", "d2", "lo", "hi", "gap", *_CLASS]
             )
 
     read = docs.select(F.col(key).alias("doc"), *_identity(key, text), F.col(text).cast("binary").alias("text"))
     runs = stage(
         read.where(F.octet_length("text") >= length).mapInArrow(
-            anchored, f"doc {kind}, d1 long, d2 long, lo long, hi long, anchor long, k1 long, k2 long"
+            anchored, f"doc {kind}, d1 long, d2 long, lo long, hi long, gap long, anchor long, k1 long, k2 long"
         ),
         "runs",
     )
-    place = F.struct("doc", "d1", "d2", "lo", "hi")
-    classes = runs.groupBy(*_CLASS).agg(F.count("*").alias("n"), F.min(place).alias("first"))
+    # Most anchors occur once, and what has them repeats nothing.
+    met = runs.groupBy("anchor").agg(F.count("*").alias("runs")).where("runs > 1")
+    met = stage(runs.join(stage(met.select("anchor"), "met"), "anchor"), "met-runs")
+    unstage(runs)
+    place = F.struct("doc", "d1", "d2", "lo", "hi", "gap")
+    classes = met.groupBy(*_CLASS).agg(F.count("*").alias("n"), F.min(place).alias("first"))
     classes = stage(classes, "classes")
     several = classes.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1")
-    several = stage(several, "several")
-    examples = classes.join(several, "anchor").select(*_CLASS, "m", "first.*")
-    wanted = examples.groupBy("d1", "d2").agg(F.collect_list(F.struct(*_CLASS, "m", "lo", "hi")).alias("wanted"))
+    examples = classes.join(stage(several, "several"), "anchor").select(*_CLASS, "m", "first.*")
+    wanted = examples.groupBy("d1", "d2").agg(F.collect_list(F.struct(*_CLASS, "m", "lo", "hi", "gap")).alias("wanted"))
     cut = read.join(wanted, ["d1", "d2"]).select("doc", "d1", "d2", "text", F.explode("wanted").alias("w"))
     taken = F.substring("text", (F.col("w.lo") + 1).cast("int"), (F.col("w.hi") - F.col("w.lo") + length).cast("int"))
     contexts = stage(cut.select("doc", "d1", "d2", "w.*", taken.alias("bytes")), "contexts")
     small = _by_suffix_array(contexts.where(F.col("m") <= GROUP), length)
-    large = _by_window(contexts.where(F.col("m") > GROUP), length)
-    marks = stage(small.unionByName(large).where(F.size("any") > 0), "marks")
-    hit = classes.join(marks, list(_CLASS), "left").where((F.col("n") > 1) | F.col("any").isNotNull())
-    hit = stage(hit.select(*_CLASS, "n", "first", "earlier", "any"), "hits")
-    whole = F.array(F.struct(F.lit(0).alias("from"), (F.col("hi") - F.col("lo")).cast("int").alias("to")))
-    if keep == "none":
-        ranges = F.when(F.col("n") > 1, whole).otherwise(F.col("any"))
-    elif keep == "first":
-        ranges = F.when(place.eqNullSafe(F.col("first")), F.col("earlier")).otherwise(whole)
-    else:
-        raise ValueError("keep must be 'first' or 'none'")
-    spans = runs.join(hit, list(_CLASS)).select("d1", "d2", "lo", F.explode(ranges).alias("r"))
-    return spans.select("d1", "d2", (F.col("lo") + F.col("r.from")).alias("start"), (F.col("lo") + F.col("r.to") + length).alias("end"))
+    large = _by_halving(contexts.where(F.col("m") > GROUP), length)
+    # What a context shares with others holds for its first place; its copies repeat it whole.
+    ends = small.unionByName(large).select(*_PLACE, F.explode("earlier" if keep == "first" else "any").alias("r"))
+    copied = met.join(stage(classes.where("n > 1").select(*_CLASS, "first"), "copied"), list(_CLASS))
+    if keep == "first":
+        copied = copied.where(~place.eqNullSafe(F.col("first")))
+    whole = F.struct(F.lit(0).alias("from"), (F.col("hi") - F.col("lo")).cast("int").alias("to"))
+    spans = stage(ends, "ends").unionByName(copied.select(*_PLACE, whole.alias("r")))
+    start, end = F.col("lo") + F.col("r.from"), F.col("lo") + F.col("r.to") + length
+    return spans.select("d1", "d2", start.alias("start"), end.alias("end"))
 
 
 def remove_repeats(
