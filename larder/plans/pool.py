@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions import clean_text, matches, minutes_or, sentinel
+from larder.functions import matches
 from larder.operators import (
+    clean_columns,
+    duration_total,
     enrich,
     fan_out_join,
     hierarchical_mean_fill,
     pad_to_schema,
     rule_filter,
+    sentinel_fill,
 )
 from larder.plans import fixed_values as fixed
 from larder.plans.schema import BUSINESS_SCHEMA
@@ -38,17 +41,14 @@ def pool_rules() -> list[list[Column]]:
     ]
 
 
-def total_minutes() -> Column:
+def _with_total_minutes(rows: DataFrame) -> DataFrame:
     """Hands-on plus hands-off time; some markets plan with the maximum times."""
-
-    def total(on, off):
-        on, off = (minutes_or(F.col(part), fixed.MISSING_MINUTES) for part in (on, off))
-        return on + off
-
+    parts = {"_maximum": ["hands_on_time_max", "hands_off_time_max"], "_plain": ["hands_on_time", "hands_off_time"]}
+    for out, columns in parts.items():
+        rows = duration_total(rows, columns, out, fixed.MISSING_MINUTES)
     uses_maximum = F.col("market").isin(*fixed.MAXIMUM_MINUTES_MARKETS)
-    return F.when(uses_maximum, total("hands_on_time_max", "hands_off_time_max")).when(
-        ~uses_maximum, total("hands_on_time", "hands_off_time")
-    )
+    total = F.when(uses_maximum, F.col("_maximum")).when(~uses_maximum, F.col("_plain"))
+    return rows.withColumn("totaltime", total).drop(*parts)
 
 
 USAGE_KEYS = ["recipe_code", "market"]
@@ -125,7 +125,10 @@ def _row_counts(df: DataFrame, keys: list[str], out: str) -> DataFrame:
 
 def _named(rows: DataFrame) -> DataFrame:
     """Output names and the columns computed row by row."""
-    return rows.withColumnsRenamed(
+    cleaned = clean_columns(_with_total_minutes(rows), ["title"])
+    for column in ("energy", "carbs"):
+        cleaned = sentinel_fill(cleaned, column, fixed.MISSING_NUTRITION, [0])
+    return cleaned.withColumnsRenamed(
         {
             "id": "recipe_id",
             "unique_recipe_code": "uniquerecipecode",
@@ -144,18 +147,16 @@ def _named(rows: DataFrame) -> DataFrame:
             "target_preferences": "preference",
             "target_products": "producttype",
             "recipe_type": "recipetype",
+            "energy": "calories",
+            "carbs": "carbohydrates",
         }
     ).withColumns(
         {
             "country": F.upper("market"),
-            "title": clean_text(F.col("title")),
             "absolutelastused": F.coalesce("absolute_last_used", F.lit("")),
             "isnewrecipe": F.coalesce("is_newrecipe", F.lit(1)),
             "isnewscheduled": F.coalesce("is_newscheduled", F.lit(0)),
             "primaryvegetable": F.coalesce("primary_vegetable", F.lit("none")),
-            "calories": sentinel(F.col("energy"), fixed.MISSING_NUTRITION, [0]),
-            "carbohydrates": sentinel(F.col("carbs"), fixed.MISSING_NUTRITION, [0]),
-            "totaltime": total_minutes(),
             "cost2p_current": F.round("cost2p_current", 2),
             "cost2p_next": F.round("cost2p_next", 2),
         }
