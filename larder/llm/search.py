@@ -150,6 +150,7 @@ def top_k(
     queries is asked once, by its smaller vector; among the candidates, each row
     counts. Scores are exact while they fit a double's 53 bits.
     """
+
     def read(df: DataFrame) -> DataFrame:
         rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"))
         return rows.where(F.col("id").isNotNull() & usable(F.col("vector"))).withColumn("dims", F.size("vector"))
@@ -158,7 +159,8 @@ def top_k(
     numbered = read(vectors).withColumn("number", F.monotonically_increasing_id())
     sizes = numbered.groupBy("dims").agg(F.ceil(F.count("*") / shard).cast("long").alias("shards"))
     sizes = stage(sizes, "sizes")
-    dealt = numbered.join(sizes, "dims").withColumn("part", F.expr("number % shards"))
+    # Written out: both searches must see the same shards.
+    dealt = stage(numbered.join(sizes, "dims").withColumn("part", F.expr("number % shards")), "shards")
     name = F.struct("dims", "part").alias("shard")
     candidates = dealt.select(name, F.lit(0).alias("kind"), "id", "vector", F.lit(0.0).alias("floor"))
     first = F.pmod(F.xxhash64("id"), F.col("shards"))
