@@ -71,8 +71,10 @@ def edit_distance(a: str, b: str) -> int:
 
 
 def simhash_of_words(words: list[str]) -> int:
-    pairs = {f"{a} {b}" for a, b in zip(words, words[1:], strict=False)} or set(words)
-    hashes = [xxhash.xxh64(w.encode(), seed=42).intdigest() for w in pairs]
+    own = [w.encode() for w in words]
+    first = {w: xxhash.xxh64(w, seed=42).intdigest() for w in own}
+    pairs = set(zip(own, own[1:], strict=False))
+    hashes = [xxhash.xxh64(b, seed=first[a]).intdigest() for a, b in pairs] or list(first.values())
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
