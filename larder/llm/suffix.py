@@ -363,7 +363,7 @@ def remove_repeats(
 
     spans = repeated_spans(docs, key, text, length, keep)
     spans = spans.groupBy("d1", "d2").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    rows = docs.select(F.struct("*").alias("row"), *_identity(key, text), F.col(text).cast("binary").alias("bytes"))
-    joined = rows.join(spans, ["d1", "d2"], "left")
+    rows = docs.select(F.struct("*").alias("row"), *_identity(key, text)).join(spans, ["d1", "d2"], "left")
+    joined = rows.withColumn("bytes", F.col("row")[text].cast("binary"))
     done = joined.select("row", F.coalesce(F.octet_length("bytes"), F.lit(0)).cast("long").alias("n_bytes"), cut("bytes", "spans").alias("cut"))
     return done.select("row", "n_bytes", "cut.removed", "cut.kept")
