@@ -162,15 +162,18 @@ def first_of_each(
 ) -> DataFrame:
     """The rows of ``docs`` that stand for their component: the smallest key's.
 
-    Of repeated rows of that key one stays. A component whose keys are all null
+    Of several rows of that key in a component one stays; rows of one key in
+    different components are separate documents. A component whose keys are all null
     keeps one row. All columns are returned, whatever their names.
     """
     hashed, members = _members(docs, key, text, width, distance)
     names = members.where("name is not null").select(F.col("name").alias("kept")).distinct()
     rows, kept = docs.alias("rows"), names.alias("kept")
-    named = rows.join(kept, F.col(f"rows.{key}") == F.col("kept.kept"), "left_semi").dropDuplicates([key])
+    named = rows.join(kept, F.col(f"rows.{key}") == F.col("kept.kept"), "left_semi")
+    printed = named.select(F.struct("*").alias("row"), fingerprint(F.col(text), width).alias("bits"))
+    first = printed.join(members, "bits").where(F.col(f"row.{key}") == F.col("name")).dropDuplicates(["root"])
     nameless = docs.where(F.col(key).isNull()).select(
         F.struct("*").alias("row"), fingerprint(F.col(text), width).alias("bits")
     )
     alone = nameless.join(members.where("name is null"), "bits").dropDuplicates(["root"])
-    return named.unionByName(alone.select("row.*"))
+    return first.select("row.*").unionByName(alone.select("row.*"))

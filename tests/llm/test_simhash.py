@@ -66,3 +66,9 @@ def test_repeated_rows_and_null_keys(texts):
     docs = texts("a b c d", "a b c d", "e f g h", "e f g h", ids=[1, 1, None, None])
     assert simhash.near_duplicates(docs).count() == 4
     assert sorted(str(r.doc_id) for r in simhash.first_of_each(docs).collect()) == ["1", "None"]
+
+
+def test_one_key_with_texts_of_different_components(texts):
+    docs = texts("one two three four five", "six seven eight nine ten", "six seven eight nine ten", "red green blue", ids=[0, 0, 1, 1])
+    kept = sorted((r.doc_id, r.text) for r in simhash.first_of_each(docs).collect())
+    assert kept == [(0, "one two three four five"), (0, "six seven eight nine ten"), (1, "red green blue")]
