@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, counts, language, lines, mixing, order, quality, search, simhash, suffix
+from larder.llm import bpe, counts, divergence, infill, language, lines, mixing, order, quality, search, simhash, suffix
 from larder.sources import new_path
 
 TOKEN_LIMIT = 2048
@@ -122,6 +122,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, cuts and digests of every document's fill-in-the-middle example, and of the text restored from it."""
+    return infill.digests(table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ from each other, and their most overused terms."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     return importlib.import_module("corpus_pipeline").run(spark, sf_dir)
@@ -138,6 +148,8 @@ OPERATORS = (
     op8_source_mix,
     op9_training_order,
     op10_token_counts,
+    op11_infill,
+    op12_source_divergence,
     pipeline,
 )
 QUERIES = {f.__name__: f for f in OPERATORS}
@@ -145,4 +157,6 @@ ORACLES = {
     "op5_quality_rules": quality.oracle_sql(),
     "op7_exact_top5": search.oracle_sql(),
     "op8_source_mix": mixing.oracle_sql(),
+    "op11_infill": infill.oracle_sql(),
+    "op12_source_divergence": divergence.oracle_sql(),
 }
