@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, counts, divergence, infill, language, lines, mixing, order, quality, search, simhash, suffix
+from larder.llm import bpe, counts, divergence, infill, language, lines, mixing, order, passages, quality, search, simhash, suffix
 from larder.sources import new_path
 
 TOKEN_LIMIT = 2048
+#: The least score that is predicted as quality 1.
+GOOD = 0.3
 #: Free in the vocabulary of byte_bpe_multi_50k.tiktoken.
 PAD = 50256
 
@@ -132,6 +134,15 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned from labels that aren't held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+    model = passages.fit(docs.where(~held_out), labels.where(~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"), passages.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     return importlib.import_module("corpus_pipeline").run(spark, sf_dir)
@@ -150,6 +161,7 @@ OPERATORS = (
     op10_token_counts,
     op11_infill,
     op12_source_divergence,
+    op13_quality_score,
     pipeline,
 )
 QUERIES = {f.__name__: f for f in OPERATORS}
