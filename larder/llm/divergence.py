@@ -17,7 +17,7 @@ BETWEEN_TERMS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCUMENTS, TOP = 10, 10
 SCALE, PRIOR = 1_000_000_000, 2
 #: Partial counts that a task holds before it passes them on.
-HELD_ROWS = 1 << 19
+HELD_ROWS = 1 << 20
 #: Counts per shard, and cells of a matrix, that are worked on at once.
 SHARD_ROWS, BLOCK_ROWS, BLOCK_CELLS = 1 << 20, 1 << 15, 1 << 20
 _STEP = 1000  # SCALE is its cube
@@ -76,7 +76,7 @@ def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         held.append(_batch_counts(batch))
         if sum(map(len, held)) > HELD_ROWS:
             held = [_merged(held)]
-            if len(held[0]) > HELD_ROWS // 2:
+            if len(held[0]) > HELD_ROWS // 4 * 3:
                 yield from held.pop().to_batches(max_chunksize=1 << 16)
     if held:
         yield from _merged(held).to_batches(max_chunksize=1 << 16)
@@ -104,7 +104,7 @@ def probabilities(counts: np.ndarray, sums: np.ndarray) -> np.ndarray:
 
 
 class _Shard:
-    """The counts of one language in one shard: a column for each source, a row for each term."""
+    """The counts of one language in one task: a column for each source, a row for each term."""
 
     def __init__(self, lang: str):
         self.lang = lang
@@ -114,6 +114,8 @@ class _Shard:
         self.pairs = self.best = None
 
     def group(self, source: str, total: int, lang_total: int, terms: int) -> None:
+        if source in self.sources:  # known from another shard of the task
+            return
         self.sources.append(source)
         self.sums.append(total + PRIOR * terms)
         self.lang_sum = lang_total + PRIOR * terms
@@ -183,27 +185,27 @@ class _Shard:
 
 
 def _shard_results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per shard and language, sorted: first the language's groups (without a term), then the counts."""
-    at, shard = None, None
+    """Per language, sorted: first its groups (without a term), then the counts of all shards in the task."""
+    shard = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
-        places = np.array([table["shard"].to_numpy(), pc.dictionary_encode(table["lang"]).combine_chunks().indices.to_numpy()])
-        edges = [0, *(np.flatnonzero((places[:, 1:] != places[:, :-1]).any(axis=0)) + 1).tolist(), len(table)]
+        places = pc.dictionary_encode(table["lang"]).combine_chunks().indices.to_numpy()
+        edges = [0, *(np.flatnonzero(places[1:] != places[:-1]) + 1).tolist(), len(table)]
         for a, b in zip(edges, edges[1:], strict=False):
             if a == b:
                 continue
             rows = table.slice(a, b - a)
-            own = (rows["shard"][0].as_py(), rows["lang"][0].as_py())
-            if own != at:
+            lang = rows["lang"][0].as_py()
+            if not shard or lang != shard.lang:
                 if shard:
                     yield shard.results()
-                at, shard = own, _Shard(own[1])
+                shard = _Shard(lang)
             groups = rows.filter(rows["term"].is_null())
             for row in groups.to_pylist():
                 shard.group(row["source"], row["n"], row["total"], row["terms"])
-            if shard.pairs is None and len(groups) < len(rows):
-                shard.start()
             if len(groups) < len(rows):
+                if shard.pairs is None:
+                    shard.start()
                 shard.feed(rows.filter(rows["term"].is_valid()).select(["source", "term", "n", "total"]))
     if shard:
         yield shard.results()
@@ -257,7 +259,7 @@ def audit(
     )
     shard = F.pmod(F.xxhash64("lang", "term"), F.lit(shards)).cast("int").alias("shard")
     rows = heads.unionByName(cells.select(shard, "lang", "source", "term", "n", "total", F.lit(0).cast("long").alias("terms")))
-    dealt = rows.repartition(shards, "shard").sortWithinPartitions("shard", "lang", F.asc_nulls_first("term"), "source")
+    dealt = rows.repartition(shards, "shard").sortWithinPartitions("lang", F.asc_nulls_first("term"), "source")
     found = dealt.mapInArrow(_shard_results, "lang string, source string, part string, item binary, value long")
     found = stage(found, "divergences")
     unstage(counts, cells)
