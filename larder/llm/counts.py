@@ -8,17 +8,17 @@ from functools import cache, reduce
 
 import pyarrow as pa
 import regex
-import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from larder.llm.pieces import Cache, chunks, text_of
+from larder.llm.transducer import WORD_END, Automaton
 from larder.sources import stage
 
 CHUNK = 1 << 16
-#: Stands for the end of a word. No UTF-8 text holds this byte.
-WORD_END = b"\xff"
+#: Neighbouring maps that are composed in one step.
+FAN = 16
 _SUFFIX = "</w>"
 _MARKS = (".", ",", ";", ":", "!", "?")
 _WHITE = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -33,6 +33,7 @@ def split_words(text: str) -> list[str]:
     return text.split()
 
 
+@cache
 def _byte_of() -> dict[str, int]:
     """The byte behind each printable stand-in of a byte-level vocabulary."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -43,14 +44,12 @@ def _byte_of() -> dict[str, int]:
 class Transducer:
     """A word-level BPE file, compiled to count tokens deterministically.
 
-    A state is the text of the word that is not yet finished, the start state
-    the empty text. A character of a word leads to the state with it appended and
-    emits nothing. Whitespace leads to the start state, and that transition is
-    annotated with the number of tokens of the finished word. The annotations are
-    computed when a transition is first taken and kept for the next time.
+    Words are runs of letters, single digits, or runs of other characters. Within a word the
+    transitions of ``Automaton`` carry the counts, compiled from the file's merges;
+    a word's end leads back to the start state. Counts of whole words are kept
+    in a bounded table.
 
-    Raises ValueError for files of another kind, and for vocabularies whose
-    tokens do not encode to themselves.
+    Raises ValueError for files of another kind.
     """
 
     def __init__(self, path: str):
@@ -72,24 +71,15 @@ class Transducer:
         self.word = regex.compile(split["pattern"]["Regex"])
         special = "|".join(regex.escape(t["content"]) for t in parts["added_tokens"])
         self.special = regex.compile(f"({special})")
-        self.merges = self._merges(model, path)
+        self.automaton = Automaton([(self._raw(a), self._raw(b)) for a, b in model["merges"]])
         self.agreed: dict[str, bool] = {}
-        self.single = self.merges._core_bpe.encode_single_piece
         self.counts = Cache(self._count)
 
-    def _merges(self, model: dict, path: str) -> tiktoken.Encoding:
+    @staticmethod
+    def _raw(token: str) -> bytes:
+        end = token.endswith(_SUFFIX)
         byte_of = _byte_of()
-        tokens = {}
-        for token, rank in model["vocab"].items():
-            end = token.endswith(_SUFFIX)
-            raw = bytes(byte_of[c] for c in (token.removesuffix(_SUFFIX) if end else token))
-            if WORD_END not in raw:
-                tokens[raw + WORD_END * end] = rank
-        tokens[WORD_END] = max(tokens.values()) + 1
-        merges = tiktoken.Encoding(path, pat_str=r"[\s\S]+", mergeable_ranks=tokens, special_tokens={})
-        if any(merges._core_bpe.encode_single_piece(raw) != [rank] for raw, rank in tokens.items()):
-            raise ValueError(f"{path} has tokens that its merges do not build")
-        return merges
+        return bytes(byte_of[c] for c in (token.removesuffix(_SUFFIX) if end else token)) + WORD_END * end
 
     @staticmethod
     def _normal(text: str) -> str:
@@ -108,7 +98,7 @@ class Transducer:
         return self.agreed[char]
 
     def _word(self, word: str) -> int:
-        return len(self.single(word.encode() + WORD_END))
+        return self.automaton.count(word.encode())
 
     def _count(self, unit: str) -> int:
         """Tokens of text without whitespace."""
@@ -158,9 +148,9 @@ class Transducer:
             return True, head, count, tail + head_then
         return True, head, count + self.counts[tail + head_then] + count_then, tail_then
 
-    def total(self, maps: list[tuple]) -> int:
-        """Tokens of a text, given its parts' maps in order."""
-        _, head, count, tail = reduce(self.compose, maps, (False, "", 0, ""))
+    def total(self, whole: tuple) -> int:
+        """Tokens of a text, given its map."""
+        _, head, count, tail = whole
         return self.counts[head] + count + self.counts[tail]
 
 
@@ -170,26 +160,40 @@ def transducer(path: str) -> Transducer:
 
 
 def _count_long(long_docs: DataFrame, path: str, chunk: int) -> DataFrame:
-    """``(doc, n_tokens)`` of texts in chunks: map all, compose by document."""
+    """``(doc, n_bytes, n_tokens)`` of texts in chunks: map all, compose neighbours level by level."""
 
-    @F.arrow_udf("finishes boolean, head string, count long, tail string")
-    def map_part(parts: pa.Array) -> pa.Array:
-        maps = [transducer(path).state_map(text_of(part)) for part in parts]
+    def as_maps(maps: list[tuple]) -> pa.Array:
         kinds = (pa.bool_(), pa.string(), pa.int64(), pa.string())
         columns = [pa.array([m[i] for m in maps], kind) for i, kind in enumerate(kinds)]
         return pa.StructArray.from_arrays(columns, ["finishes", "head", "count", "tail"])
 
+    @F.arrow_udf("finishes boolean, head string, count long, tail string")
+    def map_part(parts: pa.Array) -> pa.Array:
+        return as_maps([transducer(path).state_map(text_of(part)) for part in parts])
+
+    @F.arrow_udf("finishes boolean, head string, count long, tail string")
+    def compose_some(rows: pa.Array) -> pa.Array:
+        own = transducer(path)
+        return as_maps([reduce(own.compose, (tuple(m.values()) for m in row)) for row in rows.to_pylist()])
+
     @F.arrow_udf("long")
-    def compose_all(rows: pa.Array) -> pa.Array:
+    def total(maps: pa.Array) -> pa.Array:
         own = transducer(path)
-        return pa.array([own.total([tuple(m.values()) for m in row]) for row in rows.to_pylist()], pa.int64())
+        return pa.array([own.total(tuple(m.values())) for m in maps.to_pylist()], pa.int64())
 
     rows = long_docs.withColumn("uid", F.monotonically_increasing_id())
-    parts = stage(chunks(rows, chunk), "chunks").repartition("uid", "idx")
-    mapped = parts.select("uid", "doc", "n_bytes", "idx", map_part("part").alias("map"))
-    in_order = F.array_sort(F.collect_list(F.struct("idx", "map")))["map"]
-    whole = mapped.groupBy("uid").agg(F.first("doc").alias("doc"), F.first("n_bytes").alias("n_bytes"), in_order.alias("maps"))
-    return whole.select("doc", "n_bytes", compose_all("maps").alias("n_tokens"))
+    parts = stage(chunks(rows, chunk), "chunks")
+    most = parts.agg(F.max("idx")).first()[0]
+    dealt = parts.repartition("uid", "idx")
+    maps = dealt.select("uid", "doc", "n_bytes", "idx", map_part("part").alias("map"))
+    level = most or 0
+    while level:  # the up-sweep of a parallel scan: a step composes few neighbours, whatever the text's length
+        up = F.floor(F.col("idx") / FAN).cast("int").alias("idx")
+        in_order = F.array_sort(F.collect_list(F.struct("idx", "map")))["map"]
+        some = maps.groupBy("uid", up).agg(F.first("doc").alias("doc"), F.first("n_bytes").alias("n_bytes"), in_order.alias("maps"))
+        maps = some.select("uid", "doc", "n_bytes", "idx", compose_some("maps").alias("map"))
+        level //= FAN
+    return maps.select("doc", "n_bytes", total("map").alias("n_tokens"))
 
 
 def count_tokens(
@@ -199,8 +203,8 @@ def count_tokens(
 
     ``path`` is a word-level BPE file that every executor can open. Texts above
     ``chunk`` bytes are cut anywhere into parts; each part's state map is
-    computed in parallel, and the maps of a document are composed in order. The
-    composition is associative, so where a text is cut does not matter. Shorter
+    computed in parallel, and ``FAN`` neighbouring maps are composed at a time, level by level.
+    The composition is associative, so where a text is cut does not matter. Shorter
     texts are one part and need no shuffle.
 
     Counts equal the library's without added special tokens; special strings in

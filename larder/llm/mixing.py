@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.quality import WORD, words
+from larder.llm.native import let
+from larder.llm.quality import WORD
 from larder.sources import stage
 
 WEIGHTS = (1, 2, 3)
@@ -15,22 +16,46 @@ SEED = "mix"
 CELLS, LEVELS = 1024, 3
 _HEX = 13
 _UNIT = float(1 << 4 * _HEX)
+#: The greatest inclusion odds: what is all but certain still has a place of its own.
+_ALMOST = 0.999
+_ODDS = ("size", "over", "squares")
+_WHITE = "\t\n\x0b\f\r"
 
 
-def _uniform(key: Column, seed: str) -> Column:
-    """A number between 0 and 1 that depends on the key and the seed only."""
-    digest = F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("null")), F.lit(seed)))
-    return (F.conv(F.substring(digest, 1, _HEX), 16, 10).cast("long").cast("double") + 0.5) / _UNIT
+def n_words(text: Column) -> Column:
+    """The number of words of a text: spaces between words plus one, once whitespace is evened out."""
+    spaced = F.trim(F.translate(F.coalesce(text, F.lit("")), _WHITE, " " * len(_WHITE)))
+    single = F.when(F.contains(spaced, F.lit("  ")), F.regexp_replace(spaced, " +", " ")).otherwise(spaced)
 
+    def count(even: Column) -> Column:
+        spaces = F.length(even) - F.length(F.replace(even, F.lit(" "), F.lit("")))
+        return F.when(even == "", 0).otherwise(spaces + 1).cast("long")
 
-def _position(key: Column, share: Column, seed: str) -> Column:
+    return let(single, count)
+
+
+def _uniform(key: Column, text: Column, seed: str) -> Column:
+    """A number between 0 and 1 that depends on the key, the text and the seed only."""
+    name = F.concat(F.coalesce(key.cast("string"), F.lit("null")), F.lit(f"{seed}:"), F.coalesce(text, F.lit("")))
+    return (F.conv(F.substring(F.md5(name.cast("binary")), 1, _HEX), 16, 10).cast("long").cast("double") + 0.5) / _UNIT
+
+
+def _odds(size: Column, over: Column, squares: Column) -> Column:
+    """The odds that a document is included, as a probability: in proportion to its size.
+
+    With these the words that a sample is expected to hold are the ``over`` words wanted.
+    """
+    odds = F.least(over * size.cast("double") / squares, F.lit(_ALMOST))
+    return F.when(squares > 0, odds).otherwise(0.0)
+
+
+def _position(u: Column, share: Column) -> Column:
     """The document's place in the order, from 0 to 1: its Pareto quotient q, as q / (1 + q).
 
     q is the odds of the document's random number over the odds of its inclusion.
     """
-    u = _uniform(key, seed)
     quotient = (u / (1.0 - u)) / (share / (1.0 - share))
-    return F.when((share > 0) & (share < 1), quotient / (1.0 + quotient)).otherwise(1.0)
+    return F.when(share > 0, quotient / (1.0 + quotient)).otherwise(1.0)
 
 
 def _targets(totals: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
@@ -57,16 +82,15 @@ def _targets(totals: DataFrame, weights: tuple[int, ...], most: int) -> DataFram
     some = F.col("source_size") > 0
     whole = F.when(some, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     over = F.col("target") - F.col("whole").cast("double") * F.col("source_size").cast("double")
-    share = F.when(some, F.col("over") / F.col("source_size")).otherwise(0.0)
     return (
         split.withColumn("target", target)
         .withColumn("whole", whole)
         .withColumn("over", over)
-        .select("source", "source_size", "target", "whole", "over", share.alias("share"))
+        .select("source", "source_size", "squares", "target", "whole", "over")
     )
 
 
-def _cuts(sized: DataFrame, targets: DataFrame, seed: str) -> DataFrame:
+def _cuts(sized: DataFrame, targets: DataFrame) -> DataFrame:
     """The targets, with the places up to which each source is taken: below ``low``, and to ``last``.
 
     Sizes are summed per cell of the order, the cell in which the sum passes the
@@ -74,7 +98,7 @@ def _cuts(sized: DataFrame, targets: DataFrame, seed: str) -> DataFrame:
     are ordered one by one. No source is ever sorted or gathered as a whole.
     """
     joined = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).select(
-        targets["source"], "size", "over", _position(F.col("key"), F.col("share"), seed).alias("place")
+        targets["source"], "size", "over", _position(F.col("u"), _odds(*map(F.col, _ODDS))).alias("place")
     )
     placed = stage(joined.where("place < 1"), "placed")
     cell = stage(
@@ -136,21 +160,27 @@ def mix(
     sources, by code point and null last, weigh ``weights`` in turn and share as
     many words as there are; no target is above ``most`` times its source. Each
     document is taken whole as often as its source's target holds the source;
-    the remaining words come from an order sample with fixed size: documents by
-    Pareto quotient, up to the one at which the sum is nearest to what is wanted.
-    Reruns agree, as the order depends on keys and seed. Rows with the same key
-    have the same place and are taken together; so are all with a null key.
+    the remaining words come from an order sample with unequal odds: a document's odds of
+    inclusion grow with its size, and documents are taken by Pareto quotient, up to
+    the one at which the sum is nearest to what is wanted.
+    Reruns agree, as the order depends on keys, texts and seed. Only rows equal in key and text
+    have the same place and are taken together. Texts of any length are read whole.
     Null and empty texts have size 0. A source without words has target 0.
     """
-    read = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), F.size(words(F.col(text))).cast("long").alias("size"))
+    read = docs.select(
+        F.col(source).alias("source"), n_words(F.col(text)).alias("size"), _uniform(F.col(key), F.col(text), seed).alias("u")
+    )
     sized = stage(read, "sized")
-    totals = stage(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "totals")
-    targets = stage(_targets(totals, weights, most), "targets")
-    plan = stage(_cuts(sized, targets, seed), "plan")
-    rows = docs.select(F.struct("*").alias("row"), F.size(words(F.col(text))).cast("long").alias("size"))
+    square = F.col("size").cast("decimal(19,0)") * F.col("size").cast("decimal(19,0)")
+    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(square).cast("double").alias("squares"))
+    targets = stage(_targets(stage(totals, "totals"), weights, most), "targets")
+    plan = stage(_cuts(sized, targets), "plan")
+    rows = docs.select(
+        F.struct("*").alias("row"), n_words(F.col(text)).alias("size"), _uniform(F.col(key), F.col(text), seed).alias("u")
+    )
     joined = rows.join(plan, F.col(f"row.{source}").eqNullSafe(plan["source"]))
-    place = _position(F.col(f"row.{key}"), F.col("share"), seed)
-    extra = F.when((place < F.col("low")) | (place <= F.col("last")), 1).otherwise(0)
+    place = _position(F.col("u"), _odds(*map(F.col, _ODDS)))
+    extra = F.when((place < 1) & ((place < F.col("low")) | (place <= F.col("last"))), 1).otherwise(0)
     return joined.select("row", "size", "source_size", "target", (F.col("whole") + extra).alias("copies"))
 
 
@@ -166,9 +196,10 @@ def oracle_sql(table: str = "documents") -> str:
     return f"""
 with sized as (
   select row_number() over () as id, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::bigint as size,
-    (('0x' || substr(md5(coalesce(doc_id::varchar, 'null') || '{SEED}'), 1, {_HEX}))::bigint::double + 0.5::double) / {_UNIT}::double as u
+    (('0x' || substr(md5(coalesce(doc_id::varchar, 'null') || '{SEED}:' || coalesce(text, '')), 1, {_HEX}))::bigint::double + 0.5::double) / {_UNIT}::double as u
   from {table}),
-totals as (select source, sum(size)::bigint as source_size from sized group by source),
+totals as (
+  select source, sum(size)::bigint as source_size, sum(size::hugeint * size)::double as squares from sized group by source),
 weighed as (
   select *, {MOST_COPIES} * source_size as cap,
     case (row_number() over (order by source collate "binary" nulls last) - 1) % 3 when 0 then {low} when 1 then {middle} else {high} end as weight
@@ -181,20 +212,19 @@ running as (
   from weighed),
 capped as (select *, cap::double * room_weight::double <= weight::double * room::double as is_capped from running),
 targets as (
-  select source, source_size, case when is_capped then cap::double else
+  select source, source_size, squares, case when is_capped then cap::double else
     weight::double * (sum(source_size) over () - sum(case when is_capped then cap else 0 end) over ())::double
       / sum(case when is_capped then 0 else weight end) over ()::double end as target
   from capped),
 shares as (
   select *, case when source_size > 0 then floor(target / source_size::double) else 0 end as whole from targets),
-rests as (
-  select *, target - whole * source_size::double as rest,
-    case when source_size > 0 then (target - whole * source_size::double) / source_size::double else 0 end as share
-  from shares),
-placed as (
-  select s.*, r.source_size, r.target, r.whole, r.rest, r.share,
-    case when share > 0 and share < 1 then ((u / (1 - u)) / (share / (1 - share))) / (1 + (u / (1 - u)) / (share / (1 - share))) else 1 end as place
+rests as (select *, target - whole * source_size::double as rest from shares),
+chances as (
+  select s.*, r.source_size, r.target, r.whole, r.rest, least(r.rest * s.size::double / r.squares, {_ALMOST}::double) as share
   from sized s join rests r on s.source is not distinct from r.source),
+placed as (
+  select *, case when share > 0 then ((u / (1 - u)) / (share / (1 - share))) / (1 + (u / (1 - u)) / (share / (1 - share))) else 1 end as place
+  from chances),
 summed as (
   select *, sum(size) over (partition by source order by place range between unbounded preceding and current row) as upto,
     sum(size) over (partition by source, place) as own

@@ -74,6 +74,7 @@ def op4_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
         n_removed.alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        (F.size("removed") > 0).alias("has_repeats"),
     )
 
 

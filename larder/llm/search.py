@@ -1,19 +1,25 @@
-"""Exact top-k inner product search with ball trees, one per shard."""
+"""Exact top-k inner product search with ball trees, one per shard of a cell."""
 
 from __future__ import annotations
 
 import heapq
-from itertools import count
+from itertools import count, pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.sources import stage
+from larder.sources import stage, unstage
 
 #: Vectors per shard, vectors per leaf, and queries that walk a tree together.
 SHARD, LEAF, BLOCK = 4096, 64, 512
+#: Cells are smaller than shards: a smaller ball has a closer bound.
+CELLS_PER_SHARD = 8
+#: Vectors from which centres are learned, centres at most, and moves of a centre.
+SAMPLE, MOST_CELLS, MOVES = 4096, 1024, 4
+#: Places of a query's cells, by bound, at which a round ends and floors are refreshed.
+ROUNDS = (1, 4)
 
 
 class BallTree:
@@ -136,15 +142,95 @@ def usable(vector: Column) -> Column:
     return F.coalesce((F.size(vector) > 0) & finite, F.lit(False))
 
 
+class Cells:
+    """Where vectors lie: centres by length of vector, and how far a cell's vectors are from its centre.
+
+    Of a length without centres all vectors are in cell 0, which every query of that length searches.
+    """
+
+    def __init__(self, centres: dict[int, np.ndarray]):
+        self.centres = centres
+        self.reach = {dims: np.zeros(len(own)) for dims, own in centres.items()}
+
+    def nearest(self, vectors: list[list[float]]) -> tuple[np.ndarray, np.ndarray]:
+        """The cell of each vector and its distance from the centre."""
+        cell, far = np.zeros(len(vectors), np.int32), np.zeros(len(vectors))
+        lengths = np.array([len(v) for v in vectors])
+        for dims, own in self.centres.items():
+            rows = np.flatnonzero(lengths == dims)
+            if len(rows):
+                x = np.array([vectors[i] for i in rows])
+                gaps = (own**2).sum(axis=1) - 2 * (x @ own.T)
+                cell[rows] = gaps.argmin(axis=1)
+                far[rows] = np.linalg.norm(x - own[cell[rows]], axis=1)
+        return cell, far
+
+    def reached(self, vector: list[float], floor: float, first: int, last: int | None) -> list[int]:
+        """Of a query's cells, greatest bound first, those from place ``first`` to ``last`` that may hold its floor."""
+        own = self.centres.get(len(vector))
+        if own is None:
+            return [0] if not first else []
+        query = np.array(vector)
+        length = np.linalg.norm(query)
+        middle, reach = own @ query, length * self.reach[len(vector)]
+        bound = middle + reach + 1e-9 * (1 + np.abs(middle) + reach + length * np.linalg.norm(own, axis=1))
+        order = np.argsort(-bound, kind="stable")[first:last]
+        return order[bound[order] >= floor].tolist()
+
+
+def _centres(sample: np.ndarray, n: int) -> np.ndarray:
+    """``n`` centres at most: points far from each other, moved to the means of what is nearest to them."""
+    rng = np.random.default_rng(7)
+    chosen = [int(rng.integers(len(sample)))]
+    gaps = ((sample - sample[chosen[0]]) ** 2).sum(axis=1)
+    while len(chosen) < n and gaps.max() > 0:
+        chosen.append(int(rng.choice(len(sample), p=gaps / gaps.sum())))
+        gaps = np.minimum(gaps, ((sample - sample[chosen[-1]]) ** 2).sum(axis=1))
+    centres = sample[chosen]
+    for _ in range(MOVES):
+        nearest = ((centres**2).sum(axis=1) - 2 * (sample @ centres.T)).argmin(axis=1)
+        for i in np.unique(nearest):
+            centres[i] = sample[nearest == i].mean(axis=0)
+    return centres
+
+
+def learn_cells(vectors: DataFrame, cell: int) -> Cells:
+    """Centres for cells of about ``cell`` rows of ``(id, vector, dims)``, from a sample of ``SAMPLE`` rows.
+
+    At most ``MOST_CELLS`` cells: with more rows they hold more, and are dealt into several shards.
+    """
+    rows = vectors.orderBy(F.xxhash64("id", "vector"), "id").limit(SAMPLE).select("dims", "vector").collect()
+    there = sorted({row.dims for row in rows})
+    counts = vectors.where(F.col("dims").isin(there)).groupBy("dims").count().collect() if there else []
+    sizes = {row.dims: row["count"] for row in counts}
+    samples = {dims: np.array([row.vector for row in rows if row.dims == dims], np.float64) for dims in there}
+    return Cells({dims: _centres(own, min(MOST_CELLS, -(-sizes[dims] // cell))) for dims, own in samples.items()})
+
+
+_SHARD = ("dims", "cell", "part")
+
+
+def sent(asked: DataFrame, cells: Cells, first: int, last: int | None) -> DataFrame:
+    """``(dims, cell, id, vector, floor)``: queries, and the cells from place ``first`` to ``last`` they search."""
+
+    @F.arrow_udf("array<int>")
+    def reached(vectors: pa.Array, floors: pa.Array) -> pa.Array:
+        pairs = zip(vectors.to_pylist(), floors.to_pylist(), strict=True)
+        return pa.array([cells.reached(v, f, first, last) for v, f in pairs], pa.list_(pa.int32()))
+
+    return asked.select("dims", F.explode(reached("vector", "floor")).alias("cell"), "id", "vector", "floor")
+
+
 def top_k(
     vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "vector", shard: int = SHARD
 ) -> DataFrame:
     """``(query_id, rank, id, score)``: the ``k`` greatest inner products of each query, exactly.
 
     Candidates are all ``vectors`` with another key than the query's; ties go to
-    the smaller key. The vectors are dealt into shards of about ``shard`` rows, whatever
-    their keys. First every query searches one shard; the k-th score it finds
-    there is its floor in all the others. Vectors that are null, empty, or hold
+    the smaller key. Vectors are dealt into cells around centres, so that a cell is a ball, and
+    a cell of more than ``shard`` rows into shards. In each round a query goes to some of its cells,
+    greatest bound first, but only where the bound reaches its floor: the k-th score found in the
+    rounds before. The last round has all cells that are left. Vectors that are null, empty, or hold
     null or non-finite components, and rows with a null key, take no part.
     Vectors of different length are not compared. A key given twice among the
     queries is asked once, by its smaller vector; among the candidates, each row
@@ -156,31 +242,48 @@ def top_k(
         return rows.where(F.col("id").isNotNull() & usable(F.col("vector"))).withColumn("dims", F.size("vector"))
 
     asked = stage(read(queries).groupBy("id").agg(F.min("vector").alias("vector")).withColumn("dims", F.size("vector")), "queries")
-    numbered = read(vectors).withColumn("number", F.monotonically_increasing_id())
-    sizes = numbered.groupBy("dims").agg(F.ceil(F.count("*") / shard).cast("long").alias("shards"))
+    known = read(vectors)
+    cells = learn_cells(known, max(1, shard // CELLS_PER_SHARD))
+
+    @F.arrow_udf("cell int, far double")
+    def placed(own: pa.Array) -> pa.Array:
+        cell, far = cells.nearest(own.to_pylist())
+        return pa.StructArray.from_arrays([pa.array(cell), pa.array(far)], ["cell", "far"])
+
+    in_cells = known.withColumn("place", placed("vector")).withColumn("number", F.monotonically_increasing_id())
+    # Written out: all rounds must see the same shards.
+    dealt = stage(in_cells.select("dims", "place.*", "id", "vector", "number"), "cells")
+    sizes = dealt.groupBy("dims", "cell").agg(F.max("far").alias("far"), F.ceil(F.count("*") / shard).cast("long").alias("shards"))
     sizes = stage(sizes, "sizes")
-    # Written out: both searches must see the same shards.
-    dealt = stage(numbered.join(sizes, "dims").withColumn("part", F.expr("number % shards")), "shards")
-    name = F.struct("dims", "part").alias("shard")
-    candidates = dealt.select(name, F.lit(0).alias("kind"), "id", "vector", F.lit(0.0).alias("floor"))
-    first = F.pmod(F.xxhash64("id"), F.col("shards"))
-    placed = asked.join(sizes, "dims").withColumn("first", first)
-
-    def sent(part: Column, floor: Column, rows: DataFrame) -> DataFrame:
-        to = rows.withColumn("part", part)
-        return to.select(name, F.lit(1).alias("kind"), "id", "vector", floor.alias("floor"))
-
+    # One row per centre: MOST_CELLS for each length of vector in the sample.
+    for row in sizes.where(F.col("dims").isin(list(cells.centres))).collect() if cells.centres else ():
+        cells.reach[row.dims][row.cell] = row.far
+    part = (F.col("number") % F.col("shards")).alias("part")
+    candidates = dealt.join(sizes.drop("far"), ["dims", "cell"]).select(
+        "dims", "cell", part, F.lit(0).alias("kind"), "id", "vector", F.lit(0.0).alias("floor")
+    )
     nothing = F.lit(float("-inf"))
-    home = stage(_search(candidates.unionByName(sent(F.col("first"), nothing, placed)), k), "home")
-    kth = F.when(F.count("*") == k, F.min("score")).otherwise(nothing).alias("kth")
-    floors = stage(home.groupBy("query_id").agg(kth), "floors")
-    informed = placed.join(floors, placed["id"] == floors["query_id"], "left")
-    others = F.explode(F.filter(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1), lambda i: i != F.col("first")))
-    away = sent(others, F.coalesce("kth", nothing), informed)
-    rest = _search(candidates.unionByName(away), k)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    ranked = home.unionByName(rest).withColumn("rank", F.row_number().over(best))
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+    found, floors = None, None
+    for first, last in pairwise([0, *ROUNDS, None]):
+        informed = asked.withColumn("floor", nothing)
+        if floors is not None:
+            informed = asked.join(floors, asked["id"] == floors["query_id"], "left").select(*asked.columns, F.coalesce("kth", nothing).alias("floor"))
+        to = sent(informed, cells, first, last).join(sizes.drop("far"), ["dims", "cell"])
+        parts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("part")
+        going = stage(to.select("dims", "cell", parts, F.lit(1).alias("kind"), "id", "vector", "floor"), "going")
+        wanted = candidates.join(going.select(*_SHARD).distinct(), list(_SHARD), "left_semi")
+        both = wanted.unionByName(going)
+        fresh = _search(both.select(F.struct(*_SHARD).alias("shard"), "kind", "id", "vector", "floor"), k)
+        rows = fresh if found is None else found.unionByName(fresh)
+        ranked = rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        before, found = found, stage(ranked.select("query_id", "id", "score"), "found")
+        unstage(going, *([before] if before is not None else []))
+        kth = F.when(F.count("*") == k, F.min("score")).otherwise(nothing).alias("kth")
+        floors = found.groupBy("query_id").agg(kth)
+    unstage(dealt)
+    ranked = found.withColumn("rank", F.row_number().over(best))
+    return ranked.select("query_id", "rank", "id", "score")
 
 
 def oracle_sql(table: str = "embeddings", k: int = 5) -> str:

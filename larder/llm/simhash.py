@@ -117,9 +117,15 @@ def links(prints: DataFrame, distance: int = LARGEST_DISTANCE) -> DataFrame:
     return found.select("u", "v").distinct()
 
 
+def _identity(key: str, text: str) -> list[Column]:
+    """128 bits that name a row by its key and text, null or not."""
+    a, b = F.col(key), F.col(text)
+    return [F.xxhash64(a, b).alias("d1"), F.xxhash64(b, F.lit("row"), a).alias("d2")]
+
+
 def _members(docs: DataFrame, key: str, text: str, width: int, distance: int) -> tuple[DataFrame, DataFrame]:
-    """``(doc, bits)`` of all rows, and ``(bits, root, name)`` of all fingerprints."""
-    read = docs.select(F.col(key).alias("doc"), fingerprint(F.col(text), width).alias("bits"))
+    """``(doc, d1, d2, bits)`` of all rows, and ``(bits, root, name)`` of all fingerprints."""
+    read = docs.select(F.col(key).alias("doc"), *_identity(key, text), fingerprint(F.col(text), width).alias("bits"))
     hashed = stage(read, "simhash")
     prints = stage(hashed.groupBy("bits").agg(F.min("doc").alias("doc")), "fingerprints")
     found = components(links(prints, distance)).select(F.col("node").alias("bits"), "component")
@@ -164,16 +170,13 @@ def first_of_each(
 
     Of several rows of that key in a component one stays; rows of one key in
     different components are separate documents. A component whose keys are all null
-    keeps one row. All columns are returned, whatever their names.
+    keeps one row. All columns are returned, whatever their names. Texts are fingerprinted
+    once, and the rows that stay are found by key and hash.
     """
     hashed, members = _members(docs, key, text, width, distance)
-    names = members.where("name is not null").select(F.col("name").alias("kept")).distinct()
-    rows, kept = docs.alias("rows"), names.alias("kept")
-    named = rows.join(kept, F.col(f"rows.{key}") == F.col("kept.kept"), "left_semi")
-    printed = named.select(F.struct("*").alias("row"), fingerprint(F.col(text), width).alias("bits"))
-    first = printed.join(members, "bits").where(F.col(f"row.{key}") == F.col("name")).dropDuplicates(["root"])
-    nameless = docs.where(F.col(key).isNull()).select(
-        F.struct("*").alias("row"), fingerprint(F.col(text), width).alias("bits")
-    )
-    alone = nameless.join(members.where("name is null"), "bits").dropDuplicates(["root"])
-    return first.select("row.*").unionByName(alone.select("row.*"))
+    order = F.struct(F.col("doc").isNull().alias("nameless"), "doc", "d1", "d2")
+    first = hashed.join(members, "bits").groupBy("root").agg(F.min(order).alias("first"))
+    kept = stage(first.select("first.d1", "first.d2"), "kept-rows")
+    rows = docs.select(F.struct("*").alias("row"), *_identity(key, text)).join(kept, ["d1", "d2"], "left_semi")
+    # Rows may be equal in key and text.
+    return rows.dropDuplicates(["d1", "d2"]).select("row.*")

@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings by truncated suffix order and previous factors."""
+"""Removal of repeated byte strings by longest previous factors in suffix order."""
 
 from __future__ import annotations
 
@@ -118,38 +118,101 @@ def _anchored(texts: list[bytes], length: int) -> list[np.ndarray]:
     return [np.concatenate(column) for column in zip(*found, strict=True)]
 
 
-def suffix_ranks(text: np.ndarray, length: int) -> np.ndarray:
-    """The rank of each place of a text in its order of suffixes, cut at ``length`` bytes.
-
-    Places that share ``length`` bytes share a rank. Doubles the compared prefix;
-    places nearer than ``length`` to the end have no defined rank.
+def _refined(ranks: np.ndarray, n: int, step: int) -> np.ndarray:
+    """Ranks by twice, or ``step`` more, of the compared bytes; only ties are sorted again."""
+    tied = np.flatnonzero((np.bincount(ranks[:n], minlength=n) > 1)[ranks[:n]])
+    following = ranks.copy()
+    if len(tied):
+        old = ranks[tied]
+        keys = old * (n + 1) + ranks[tied + step] + 1
+        order = np.argsort(keys, kind="stable")
+        old, keys = old[order], keys[order]
+        at = np.arange(len(order))
+        group = np.maximum.accumulate(np.where(np.concatenate(([True], old[1:] != old[:-1])), at, 0))
+        part = np.maximum.accumulate(np.where(np.concatenate(([True], keys[1:] != keys[:-1])), at, 0))
+        following[tied[order]] = old + part - group
+    return following
+
+
+def suffix_order(text: np.ndarray, places: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the order of their suffixes, and how many bytes each shares with the one before it.
+
+    Suffixes are cut at ``length`` bytes, of which each of the ascending places has as many; equal
+    ones are in the order of their places. Ranks by 8 bytes are refined by doubling, and
+    the ranks of all steps give the shared lengths.
     """
-    padded = np.concatenate((text.astype(np.int64), np.zeros(length, np.int64)))
-    n, done = len(text), 1
-    ranks = padded
+    n = len(text)
+    padded = np.zeros(n + length + 8, np.uint64)
+    padded[:n] = text
+    packed = np.zeros(n + length, np.uint64)
+    for k in range(8):
+        packed = packed << _U(8) | padded[k : k + n + length]
+    if length < 8:
+        packed = packed >> _U(64 - 8 * length) << _U(64 - 8 * length)
+    first = np.argsort(packed[:n], kind="stable")
+    new = np.concatenate(([True], packed[first[1:]] != packed[first[:-1]]))
+    ranks = np.full(n + length, -1, np.int64)
+    ranks[first] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    steps, done = [(8, ranks)], 8
     while done < length:
         step = min(done, length - done)
-        pairs = ranks[:n] * (int(ranks.max()) + 1) + ranks[step : n + step]
-        ranks = np.zeros(n + length, np.int64)
-        ranks[:n] = np.unique(pairs, return_inverse=True)[1]
+        ranks = _refined(ranks, n, step)
         done += step
-    return ranks[:n]
-
-
-def factors(ranks: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each of the ascending places: does an earlier one share its rank; does a later one?
-
-    Entries are put in suffix order, equal ranks by place. There the previous
-    smaller place of an entry, if it shares the rank, is the entry before it, and
-    no next smaller place shares it. So the longest previous factor reaches the
-    cut where the entry before has the same rank; likewise for the next factor.
+        if done < length:
+            steps.append((done, ranks))
+    order = places[np.argsort(ranks[places], kind="stable")]
+    shared = np.zeros(len(order), np.int64)
+    a, b = order[:-1], order[1:]
+    same = ranks[a] == ranks[b]
+    shared[1:][same] = length
+    differ = np.flatnonzero(~same)
+    a, b, long = a[differ], b[differ], np.zeros(len(differ), np.int64)
+    for size, own in reversed(steps):
+        long += size * (own[a + long] == own[b + long])
+    rest = packed[a + long] ^ packed[b + long]
+    long += sum((rest >> _U(64 - 8 * k) == 0).astype(np.int64) for k in range(1, 8))
+    shared[differ + 1] = np.minimum(long, length)
+    return order, shared
+
+
+def _nearest_smaller(values: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the nearest smaller value before each, or -1, and the least of ``shared`` on the way there."""
+    n = len(values)
+    least, common = [values], [shared]
+    while 1 << len(least) < n:
+        size = 1 << len(least) - 1
+        least.append(np.concatenate((least[-1][:size], np.minimum(least[-1][size:], least[-1][:-size]))))
+        common.append(np.concatenate((common[-1][:size], np.minimum(common[-1][size:], common[-1][:-size]))))
+    at, low = np.arange(n) - 1, shared.copy()
+    for level in reversed(range(len(least))):
+        size = 1 << level
+        far = np.flatnonzero(at >= size - 1)
+        far = far[least[level][at[far]] > values[far]]
+        low[far] = np.minimum(low[far], common[level][at[far]])
+        at[far] -= size
+    return at, np.where(at >= 0, low, 0)
+
+
+def previous_factors(order: np.ndarray, shared: np.ndarray, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """For each entry of a suffix order the length of its longest previous factor, and where that is.
+
+    The longest string that starts at a place and also at an earlier one starts at
+    the previous or the next smaller place in suffix order; the lengths shared on the way there say
+    how long it is. Factors shorter than ``least`` count as none: length 0, place -1.
     """
-    order = np.argsort(ranks[places], kind="stable")
-    ranked = ranks[places][order]
-    same = ranked[1:] == ranked[:-1]
-    earlier, later = np.zeros(len(places), bool), np.zeros(len(places), bool)
-    earlier[order[1:]], later[order[:-1]] = same, same
-    return earlier, later
+    near = shared >= least
+    inside = np.flatnonzero(near | np.concatenate((near[1:], [False])))
+    places, common = order[inside], np.where(near, shared, 0)[inside]
+    lengths, sources = np.zeros(len(order), np.int64), np.full(len(order), -1, np.int64)
+    if len(inside):
+        before, long = _nearest_smaller(places, common)
+        back, long_after = _nearest_smaller(places[::-1], np.concatenate(([0], common[:0:-1])))
+        after, long_after = len(places) - 1 - back[::-1], long_after[::-1]
+        source = np.where(long >= long_after, before, np.minimum(after, len(places) - 1))
+        best = np.maximum(long, long_after)
+        lengths[inside] = best
+        sources[inside] = np.where(best > 0, places[source], -1)
+    return lengths, sources
 
 
 def _ranges(flags: np.ndarray) -> list[dict]:
@@ -170,10 +233,14 @@ def _by_suffix_array(contexts: DataFrame, length: int) -> DataFrame:
         begins = np.cumsum([0, *(len(row[-1]) for row in group)])
         counts = np.diff(begins) - length + 1
         places = np.concatenate([np.arange(b, b + n) for b, n in zip(begins, counts, strict=False)])
-        earlier, later = factors(suffix_ranks(text, length), places)
+        order, shared = suffix_order(text, places, length)
+        at = np.searchsorted(places, order)
+        earlier, repeated = np.zeros(len(places), bool), np.zeros(len(places), bool)
+        earlier[at] = previous_factors(order, shared, length)[0] >= length
+        repeated[at] = (shared >= length) | np.concatenate((shared[1:] >= length, [False]))
         cuts = np.cumsum(counts)[:-1]
         columns = [pa.array([row[i] for row in group], pa.int64()) for i in range(3, 6)]
-        for flags in (earlier, earlier | later):
+        for flags in (earlier, repeated):
             columns.append(pa.array([_ranges(f) for f in np.split(flags, cuts)], _ARROW_RANGES))
         return pa.RecordBatch.from_arrays(columns, [*_PLACE, "earlier", "any"])
 

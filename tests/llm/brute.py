@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from os.path import commonprefix
 
+import duckdb
+import pyarrow as pa
 import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -70,24 +73,46 @@ def edit_distance(a: str, b: str) -> int:
     return row[-1]
 
 
-def simhash_of_words(words: list[str]) -> int:
-    own = [w.encode() for w in words]
-    first = {w: xxhash.xxh64(w, seed=42).intdigest() for w in own}
-    pairs = set(zip(own, own[1:], strict=False))
-    hashes = [xxhash.xxh64(b, seed=first[a]).intdigest() for a, b in pairs] or list(first.values())
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-
-def kept_lines(docs: list[tuple[int, str | None]], min_words: int, distance: int, similarity: float) -> dict[int, str | None]:
-    """Texts without the lines that repeat or resemble an earlier kept group's first."""
-    places = [(doc, pos, line) for doc, text in sorted(docs) for pos, line in enumerate((text or "").split("\n"))]
+def similar_lines(a: str, b: str, similarity: float) -> bool:
+    most = int(max(len(a), len(b)) * (1 - similarity) + 1e-9)
+    if abs(len(a) - len(b)) > most:
+        return False
+    x, y = Counter(a), Counter(b)
+    if max((x - y).total(), (y - x).total()) > most:  # each edit mends one character
+        return False
+    return edit_distance(a, b) <= most
+
+
+def similar_pairs(lines: list[str], similarity: float) -> list[tuple[int, int]]:
+    """All pairs of places whose lines are similar, each compared with each."""
+    alphabet = sorted(set("".join(lines)))
+    if len(alphabet) > 120:
+        places = range(len(lines))
+        return [(j, i) for i in places for j in range(i) if similar_lines(lines[j], lines[i], similarity)]
+    # DuckDB compares bytes; with a byte for each character that is the same.
+    as_bytes = str.maketrans({c: chr(i + 1) for i, c in enumerate(alphabet)})
+    table = pa.table({"i": range(len(lines)), "t": [x.translate(as_bytes) for x in lines]})
+    most = f"floor(greatest(length(a.t), length(b.t)) * {1 - similarity} + 1e-9)"
+    connection = duckdb.connect()
+    connection.register("lines", table)
+    return connection.execute(
+        f"select a.i, b.i from lines a join lines b on a.i < b.i and abs(length(a.t) - length(b.t)) <= {most} "
+        f"where levenshtein(a.t, b.t) <= {most}"
+    ).fetchall()
+
+
+def normal(line: str) -> str:
+    return " ".join(WORD.findall(line.lower()))
+
+
+def kept_lines(docs: list[tuple[int, str | None]], min_chars: int, similarity: float) -> dict[int, str | None]:
+    """Texts without the lines that repeat or resemble an earlier one, by edit similarity alone."""
     norms: dict[str, tuple] = {}
-    for doc, pos, line in places:
-        words = WORD.findall(line.lower())
-        if len(words) >= min_words:
-            norms.setdefault(" ".join(words), (doc, pos))
+    for doc, text in sorted(docs):
+        for pos, line in enumerate((text or "").split("\n")):
+            if normal(line):
+                norms.setdefault(normal(line), (doc, pos))
     names = list(norms)
-    prints = [simhash_of_words(n.split(" ")) for n in names]
     root = list(range(len(names)))
 
     def find(i):
@@ -95,21 +120,16 @@ def kept_lines(docs: list[tuple[int, str | None]], min_words: int, distance: int
             i = root[i]
         return i
 
-    for i in range(len(names)):
-        for j in range(i):
-            if (prints[i] ^ prints[j]).bit_count() <= distance:
-                longer = max(len(names[i]), len(names[j]))
-                if edit_distance(names[i], names[j]) <= int(longer * (1 - similarity) + 1e-9):
-                    a, b = find(i), find(j)
-                    root[max(a, b)] = min(a, b)
+    long = [i for i, name in enumerate(names) if len(name) >= min_chars]
+    for i, j in similar_pairs([names[i] for i in long], similarity):
+        a, b = find(long[i]), find(long[j])
+        root[max(a, b)] = min(a, b)
     stays = {norms[names[find(i)]] for i in range(len(names))}
     result = {}
     for doc, text in docs:
         if text is None:
             result[doc] = None
             continue
-        lines = text.split("\n")
-        result[doc] = "\n".join(
-            line for pos, line in enumerate(lines) if len(WORD.findall(line)) < min_words or (doc, pos) in stays
-        )
+        lines = enumerate(text.split("\n"))
+        result[doc] = "\n".join(line for pos, line in lines if not normal(line) or (doc, pos) in stays)
     return result

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 from compare import differences, open_duckdb
+from pyspark.sql import functions as F
 
 from larder.llm import mixing, quality, queries
 
@@ -79,3 +80,28 @@ def test_mix_is_repeatable_and_near_its_targets(spark, sf_dir):
         entry = sums.setdefault(r.row.source, [0, r.target])
         entry[0] += r.size * r.copies
     assert all(abs(a - b) <= largest for a, b in sums.values())
+
+
+def test_inclusion_follows_the_odds(spark):
+    """In a source of which about a third is wanted, twice as large documents are taken twice as often."""
+    rows = [(i, "w " * (1 + i % 4), "a", 1, "r") for i in range(12_000)] + [(99_000 + i, "w " * 60, "b", 1, "r") for i in range(500)]
+    rows += [(199_000 + i, "w " * 4, "c", 1, "r") for i in range(1000)]
+    got = mixing.mix(sources(spark, *rows)).where("row.source = 'a'").collect()
+    rest = got[0].target - got[0].source_size * (got[0].target // got[0].source_size)
+    whole = got[0].target // got[0].source_size
+    squares = sum(r.size**2 for r in got)
+    for size in range(1, 5):
+        own = [r.copies - whole for r in got if r.size == size]
+        assert sum(own) / len(own) == pytest.approx(rest * size / squares, rel=0.12)
+
+
+def test_rows_with_one_key_have_places_of_their_own(spark):
+    rows = [(None, f"w{i} x y z", "a", 1, "r") for i in range(600)] + [(i, "w " * 30, "b", 1, "r") for i in range(40)]
+    got = mixing.mix(sources(spark, *rows)).where("row.source = 'a'").collect()
+    assert abs(sum(r.size * r.copies for r in got) - got[0].target) <= 2
+
+
+def test_words_are_counted(texts):
+    made = [None, "", "  ", "a", " a  b\n\n\tc\x0bd ", "é\u00a0x y", "w " * 100_000]
+    rows = texts(*made).select(mixing.n_words(F.col("text"))).collect()
+    assert [r[0] for r in rows] == [0, 0, 0, 1, 4, 2, 100_000]

@@ -42,7 +42,7 @@ def test_quality_stage(stages, sf_dir):
 
 def test_line_stage(stages):
     before = {r.doc_id: r.text for r in stages[1].collect()}
-    wanted = brute.kept_lines(list(before.items()), lines.MIN_WORDS, lines.DISTANCE, lines.SIMILARITY)
+    wanted = brute.kept_lines(list(before.items()), lines.FUZZY_CHARS, lines.SIMILARITY)
     alive = {i: t for i, t in wanted.items() if t == before[i] or brute.WORD.search(t)}
     assert {r.doc_id: r.text for r in stages[2].collect()} == alive
     assert all(r.n_chars == len(r.text) for r in stages[2].collect())

@@ -65,15 +65,34 @@ def test_query_equals_brute_force(spark, sf_dir):
     assert any(r.n_removed for r in got.values())
 
 
-def test_suffix_ranks_and_factors():
-    text = np.frombuffer(b"abcabcabx" * 6, np.uint8)
-    places = np.arange(len(text) - 5)
-    ranks = suffix.suffix_ranks(text, 6)
-    strings = [bytes(text[p : p + 6]) for p in places]
-    assert [strings[p] for p in np.argsort(ranks[places], kind="stable")] == sorted(strings)
-    earlier, later = suffix.factors(ranks, places)
-    assert earlier.tolist() == [s in strings[:i] for i, s in enumerate(strings)]
-    assert later.tolist() == [s in strings[i + 1 :] for i, s in enumerate(strings)]
+def shared_bytes(a, b):
+    return next((i for i, (x, y) in enumerate(zip(a, b, strict=True)) if x != y), len(a))
+
+
+@pytest.mark.parametrize("length", [1, 3, 7, 8, 9, 40, 100])
+@pytest.mark.parametrize("made", [b"abcabcabx" * 30, b"a" * 250, bytes(range(256)), None])
+def test_longest_previous_factors_equal_brute_force(length, made):
+    rng = random.Random(length)
+    made = made or bytes(rng.choice(b"ab\x00") for _ in range(300))
+    text = np.frombuffer(made, np.uint8)
+    places = np.arange(len(text) - length + 1)
+    strings = [made[p : p + length] for p in places]
+    order, shared = suffix.suffix_order(text, places, length)
+    assert order.tolist() == sorted(places.tolist(), key=lambda p: (strings[p], p))
+    assert shared[1:].tolist() == [shared_bytes(strings[a], strings[b]) for a, b in zip(order, order[1:], strict=False)]
+    for least in (1, length):
+        lengths, sources = suffix.previous_factors(order, shared, least)
+        for place, long, source in zip(order.tolist(), lengths.tolist(), sources.tolist(), strict=True):
+            best = max((shared_bytes(strings[place], strings[j]) for j in range(place)), default=0)
+            assert long == (best if best >= least else 0)
+            assert source == -1 if not long else (source < place and shared_bytes(strings[place], strings[source]) >= long)
+
+
+def test_places_need_not_be_neighbours():
+    text = np.frombuffer(b"xxabcd--abcdabcd", np.uint8)
+    order, shared = suffix.suffix_order(text, np.array([2, 8, 12]), 4)
+    assert (order.tolist(), shared.tolist()) == ([2, 8, 12], [0, 4, 4])
+    assert suffix.previous_factors(order, shared)[1].tolist() == [-1, 2, 8]
 
 
 def test_nothing_and_null_keys(texts):

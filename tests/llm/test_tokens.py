@@ -5,10 +5,11 @@ import hashlib
 import random
 
 import public_tokenizers
+import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from larder.llm import bpe, counts, queries
+from larder.llm import bpe, counts, queries, transducer
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -65,7 +66,9 @@ def test_counts_equal_the_library(spark, sf_dir):
     assert not found
 
 
-def test_counts_of_chunks_compose(texts):
+@pytest.mark.parametrize("fan", [2, 16])
+def test_counts_of_chunks_compose(texts, monkeypatch, fan):
+    monkeypatch.setattr(counts, "FAN", fan)
     own = Tokenizer.from_file(WORDS)
     values = [*odd_texts(200, 300, 2), "a" * 300, None, "", "<|startoftext|>" * 20]
     found = {r.doc_id: r for r in counts.count_tokens(texts(*values), WORDS, chunk=16).collect()}
@@ -73,6 +76,41 @@ def test_counts_of_chunks_compose(texts):
     assert [found[i].n_bytes for i in range(len(values))] == [len((v or "").encode()) for v in values]
 
 
+def some_words():
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdeéthing日s") for _ in range(rng.randint(1, 30))) for _ in range(400)]
+    return [*words, "", "the" * 20, "ab" * 50, *("a" * n for n in range(1, 40)), *("er" * n + "s" for n in range(1, 20))]
+
+
+@pytest.mark.parametrize("most", [1 << 17, 40])
+def test_transducer_equals_the_library(most):
+    """Also when the states do not fit and are compiled again and again."""
+    own, whole = counts.transducer(WORDS), Tokenizer.from_file(WORDS)
+    merges = list(own.automaton.ranks)[255:]
+    automaton = transducer.Automaton(merges, most)
+    for word in some_words():
+        assert automaton.count(word.encode()) == len(whole.encode(word, add_special_tokens=False))
+        assert len(automaton.states) <= most
+
+
+def test_states_hold_no_text():
+    """However long a word, its states are those of its last token's length."""
+    own = counts.transducer(WORDS).automaton
+    own.count(b"ab" * 20_000)
+    assert max(len(places) for _, places in own.states) <= max(own.depth) + 1
+
+
+def test_tokens_stay_apart_where_merges_keep_them():
+    own = counts.transducer(WORDS).automaton
+    rng = random.Random(5)
+    whole = [i for i in rng.sample(range(len(own.tokens)), 900) if own._is_whole(i)]
+    inner = [i for i in whole if not own.tokens[i].endswith(transducer.WORD_END)]
+    pairs = [(rng.choice(inner), rng.choice(whole)) for _ in range(4000)]
+    pairs += [(a, b) for a in inner[:60] for b in inner[:60] if own.tokens[a][-1:] == own.tokens[b][:1]]
+    for a, b in pairs:
+        assert own.stays_apart(a, b) == (own.encode(own.tokens[a] + own.tokens[b]) == [own.tokens[a], own.tokens[b]])
+
+
 def test_composition_is_associative():
     own = counts.transducer(WORDS)
     for text in odd_texts(200, 30, 3):
