@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder import plans
-from larder.sources import conform, stage
+from larder.sources import conform, new_path, read_tables, stage
 from workload.market_sql import market_oracles
 from workload.market_tables import AS_OF, RECIPE_PRICE_WEEKS, SLOT_YEARS_AFTER, market_tables
 from workload.tables import configure
@@ -47,6 +47,22 @@ def market_nutrition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.recipe_nutrition(*_tables(spark, sf_dir, "segment_nutrition"))
 
 
+def market_usage_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a table that is opened by its catalog name."""
+    for role, df in market_tables(configure(spark), sf_dir, "recipe_usage").items():
+        df.createOrReplaceTempView(f"my_{role}")
+    tables = read_tables(spark, {"recipe_usage": "my_recipe_usage"})
+    return plans.recipe_usage(conform(tables)["recipe_usage"])
+
+
+def market_nutrition_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from files, with a column that nothing reads."""
+    path = new_path(configure(spark), "segment-nutrition")
+    market_tables(spark, sf_dir, "segment_nutrition")["segment_nutrition"].withColumn("other", F.lit(1)).write.parquet(path)
+    tables = read_tables(spark, {"segment_nutrition": path}, "parquet")
+    return plans.recipe_nutrition(conform(tables)["segment_nutrition"])
+
+
 def market_recipe_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     (prices,) = _tables(spark, sf_dir, "recipe_price")
     return plans.recipe_price_by_segment(prices, *RECIPE_PRICE_WEEKS)
@@ -121,6 +137,8 @@ QUERIES: dict[str, Query] = {
         market_scores,
         market_usage,
         market_nutrition,
+        market_usage_by_name,
+        market_nutrition_from_files,
         market_recipe_price,
         market_sku_prices,
         market_ready_recipes,
@@ -135,3 +153,5 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = market_oracles()
+ORACLES["market_usage_by_name"] = ORACLES["market_usage"]
+ORACLES["market_nutrition_from_files"] = ORACLES["market_nutrition"]

@@ -320,6 +320,32 @@ def recent_window(spark, sf_dir):
     )
 
 
+@checked_by("""
+    with ends as (select min(cast(o_orderdate as date)) as oldest, max(cast(o_orderdate as date)) as newest from orders),
+        dated as (select o_custkey, o_orderpriority, cast(o_orderdate as date) as d from orders),
+        days as (select distinct d, strftime(d + datediff('day', newest, current_date)::int, '%Y-%m-%d') as day,
+            datediff('day', oldest, d) // 91 as period from dated, ends),
+        today as (select max(period) as period from days where day = strftime(current_date, '%Y-%m-%d'))
+    select distinct o_custkey, o_orderpriority, period::int as period from dated join days using (d)
+    where period >= (select period - 1 from today)""")
+def recent_window_today(spark, sf_dir):
+    """Orders moved in time so that the newest is of today; the session's clock says what is recent."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority", F.col("o_orderdate").cast("date").alias("d"))
+    ends = orders.agg(F.min("d").alias("oldest"), F.max("d").alias("newest"))
+    oldest, newest = ends.select("oldest").scalar(), ends.select("newest").scalar()
+    moved = F.date_format(F.date_add("d", F.date_diff(F.current_date(), newest)), "yyyy-MM-dd")
+    days = orders.select("d").distinct()
+    days = stage(days.withColumns({"day": moved, "period": F.floor(F.date_diff(F.col("d"), oldest) / 91).cast("int")}), "days")
+    return ops.recent_window(
+        orders.join(days.select("d", "period"), "d"),
+        days.select("d", "day", F.col("period").alias("number")),
+        label="d",
+        period="number",
+        since=ops.calendar_now(days, "day", "period", offset=-1),
+        columns=["o_custkey", "o_orderpriority", "period"],
+    )
+
+
 # --- shape and joins ---------------------------------------------------------
 
 
