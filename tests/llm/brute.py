@@ -6,8 +6,6 @@ import re
 from collections import Counter
 from os.path import commonprefix
 
-import duckdb
-import pyarrow as pa
 import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -73,32 +71,21 @@ def edit_distance(a: str, b: str) -> int:
     return row[-1]
 
 
-def similar_lines(a: str, b: str, similarity: float) -> bool:
-    most = int(max(len(a), len(b)) * (1 - similarity) + 1e-9)
-    if abs(len(a) - len(b)) > most:
-        return False
-    x, y = Counter(a), Counter(b)
-    if max((x - y).total(), (y - x).total()) > most:  # each edit mends one character
-        return False
-    return edit_distance(a, b) <= most
-
-
 def similar_pairs(lines: list[str], similarity: float) -> list[tuple[int, int]]:
-    """All pairs of places whose lines are similar, each compared with each."""
-    alphabet = sorted(set("".join(lines)))
-    if len(alphabet) > 120:
-        places = range(len(lines))
-        return [(j, i) for i in places for j in range(i) if similar_lines(lines[j], lines[i], similarity)]
-    # DuckDB compares bytes; with a byte for each character that is the same.
-    as_bytes = str.maketrans({c: chr(i + 1) for i, c in enumerate(alphabet)})
-    table = pa.table({"i": range(len(lines)), "t": [x.translate(as_bytes) for x in lines]})
-    most = f"floor(greatest(length(a.t), length(b.t)) * {1 - similarity} + 1e-9)"
-    connection = duckdb.connect()
-    connection.register("lines", table)
-    return connection.execute(
-        f"select a.i, b.i from lines a join lines b on a.i < b.i and abs(length(a.t) - length(b.t)) <= {most} "
-        f"where levenshtein(a.t, b.t) <= {most}"
-    ).fetchall()
+    """All pairs of places whose lines are similar, each compared with each of a length that allows it."""
+    grams = [Counter(x[k : k + 5] for k in range(len(x) - 4)) for x in lines]
+    order = sorted(range(len(lines)), key=lambda i: len(lines[i]))
+    found = []
+    for at, i in enumerate(order):
+        most = int(len(lines[i]) * (1 - similarity) + 1e-9)
+        for j in reversed(order[:at]):
+            if len(lines[i]) - len(lines[j]) > most:
+                break
+            # An edit changes five strings of five characters at most.
+            common = sum(min(n, grams[j][g]) for g, n in grams[i].items() if g in grams[j])
+            if grams[i].total() + grams[j].total() - 2 * common <= 10 * most and edit_distance(lines[i], lines[j]) <= most:
+                found.append((i, j))
+    return found
 
 
 def normal(line: str) -> str:
