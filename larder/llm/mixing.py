@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.native import let
-from larder.llm.quality import WORD
+from larder.llm.quality import WORD, words
 from larder.sources import stage
 
 WEIGHTS = (1, 2, 3)
@@ -19,19 +18,10 @@ _UNIT = float(1 << 4 * _HEX)
 #: The greatest inclusion odds: what is all but certain still has a place of its own.
 _ALMOST = 0.999
 _ODDS = ("size", "over", "squares")
-_WHITE = "\t\n\x0b\f\r"
 
 
 def n_words(text: Column) -> Column:
-    """The number of words of a text: spaces between words plus one, once whitespace is evened out."""
-    spaced = F.trim(F.translate(F.coalesce(text, F.lit("")), _WHITE, " " * len(_WHITE)))
-    single = F.when(F.contains(spaced, F.lit("  ")), F.regexp_replace(spaced, " +", " ")).otherwise(spaced)
-
-    def count(even: Column) -> Column:
-        spaces = F.length(even) - F.length(F.replace(even, F.lit(" "), F.lit("")))
-        return F.when(even == "", 0).otherwise(spaces + 1).cast("long")
-
-    return let(single, count)
+    return F.size(words(text)).cast("long")
 
 
 def _uniform(key: Column, text: Column, seed: str) -> Column:

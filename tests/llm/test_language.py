@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import zlib
+from collections import Counter
+from functools import cache
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -33,6 +37,48 @@ def _grams(text):
     return [int(a) << 2 * bits | int(b) << bits | int(c) for a, b, c in zip(codes, codes[1:], codes[2:], strict=False)]
 
 
+def plain_letters(text):
+    found = [0]
+    for char in text:
+        if char.isalpha():
+            found.append(ord(char.lower()) if len(char.lower()) == 1 else ord(char))
+        elif found[-1]:
+            found.append(0)
+    return found if not found[-1] else [*found, 0]
+
+
+@cache
+def plain_vector(gram):
+    return np.prod([np.roll(language._letter_vector(x, 0), 2 - i) for i, x in enumerate(gram)], axis=0).astype(float)
+
+
+def plain_bundle(text):
+    own = plain_letters(text or "")
+    grams = Counter(zip(own, own[1:], own[2:], strict=False))
+    return sum((n * plain_vector(gram) for gram, n in grams.items()), np.zeros(language.DIMENSIONS))
+
+
+def test_query_equals_plain_version(spark, sf_dir):
+    rows = queries.table(spark, sf_dir, "documents").collect()
+    bundles = {r.doc_id: plain_bundle(r.text) for r in rows}
+    sums = {}
+    for r in rows:
+        if zlib.crc32(str(r.doc_id).encode()) % 3 != 1 and r.lang is not None:
+            sums[r.lang] = sums.get(r.lang, 0) + bundles[r.doc_id]
+    names = sorted(sums)
+    prototypes = np.array([sums[x] / np.linalg.norm(sums[x]) for x in names])
+    got = {r.doc_id: r for r in queries.op3_language(spark, sf_dir).collect()}
+    assert set(got) == set(bundles)
+    for doc, bundle in bundles.items():
+        assert got[doc].held_out == (zlib.crc32(str(doc).encode()) % 3 == 1)
+        if not bundle.any():
+            assert (got[doc].lang_pred, got[doc].score) == ("und", 0)
+            continue
+        cosines = prototypes @ bundle / np.linalg.norm(bundle)
+        assert got[doc].lang_pred == names[cosines.argmax()]
+        assert abs(got[doc].score - max(0, cosines.max())) < 1e-9
+
+
 def test_edge_cases(spark, texts):
     rows = [("the cat and the dog", "en"), ("der Hund und die Katze", "de"), (None, "en"), ("le chat", None), ("...", "xx")]
     profiles = language.learn(spark.createDataFrame(rows, "text string, lang string"))
