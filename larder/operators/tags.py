@@ -70,16 +70,19 @@ def tag_list(
     return df.withColumns(columns)
 
 
-def explode_tags(df: DataFrame, tags: Sequence[str], out: str, empty: str = EMPTY) -> DataFrame:
+def explode_tags(
+    df: DataFrame, tags: Sequence[str], out: str, empty: str = EMPTY, order: Sequence[str] = ()
+) -> DataFrame:
     """Distinct rows, one copy per tag a row has, or one ``empty`` copy if none.
 
     Duplicates are removed before the rows multiply, so the result is distinct
-    without a second pass.
+    without a second pass. So are they sorted by ``order``, if given; copies keep it.
     """
+    distinct = df.distinct()
     present = F.array_distinct(F.array_compact(F.array(*tags)))
     copies = F.when(F.size("_present") > 0, F.col("_present")).otherwise(F.array(F.lit(empty)))
     return (
-        df.distinct()
+        (distinct.orderBy(*order) if order else distinct)
         .withColumn("_present", present)
         .withColumn(out, F.explode(copies))
         .drop("_present")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.operators import explode_tags, stack, today
-from larder.operators.shape import ordered
+from larder.operators.shape import ranged
 from larder.plans import fixed_values as fixed
 from larder.plans.demand import demand_recipes, slot_preferences
 from larder.plans.picklists import picklist_costs
@@ -59,6 +59,10 @@ def recipe_pool(
     )
     both = stack([with_preferences(pool, POOL_RULES), with_preferences(demand, DEMAND_RULES)])
     ready_rows = both.filter(is_ready(F.lower("country"), F.col("status")))
-    result = explode_tags(ready_rows, TAG_COLUMNS, TAG_COLUMN)
-    result = result.withColumnRenamed(WEEK, week_column)
-    return ordered(result, ["country", "uniquerecipecode"]) if sort else result
+    order, tie = ["country", "uniquerecipecode"], "_tie"
+    if sort:
+        dealt = ranged(ready_rows, order, tie)
+        result = explode_tags(dealt, TAG_COLUMNS, TAG_COLUMN, order=[*order, tie]).drop(tie)
+    else:
+        result = explode_tags(ready_rows, TAG_COLUMNS, TAG_COLUMN)
+    return result.withColumnRenamed(WEEK, week_column)

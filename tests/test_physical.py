@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder import operators as ops
+from larder.operators.shape import ranged
 from workload import market_queries, operator_queries
 from workload.tables import table
 
@@ -136,3 +137,20 @@ def test_sort_spreads_a_hot_key(spark):
     with settings(spark, adaptive__coalescePartitions__enabled="false"):
         sizes = ops.distinct_ordered(df, ["k"]).groupBy(F.spark_partition_id()).count().collect()
     assert len(sizes) > 1
+
+
+def test_the_pool_is_made_distinct_and_sorted_by_one_shuffle(spark):
+    with settings(spark, autoBroadcastJoinThreshold="-1"):
+        text = plan(market_queries.recipe_pool(spark, SF_DIR)).split("Union")[0]
+    assert text.count("Exchange") == text.count("Exchange rangepartitioning") == 1
+
+
+def test_ranged_rows_are_distinct_in_order_and_spread(spark):
+    key = F.when(F.col("id") >= 0, "GB").alias("k")
+    df = spark.range(0, 4000, 1, 4).select(key, (F.col("id") % 1000).alias("x"))
+    with settings(spark, adaptive__coalescePartitions__enabled="false"):
+        dealt = ranged(df, ["k"], "tie").distinct().orderBy("k", "tie")
+        assert plan(dealt).count("Exchange") == 1
+        got = [(r.k, r.tie, r.x) for r in dealt.collect()]
+        assert dealt.groupBy(F.spark_partition_id()).count().count() > 1
+    assert got == sorted(got) and sorted(x for _, _, x in got) == list(range(1000))
