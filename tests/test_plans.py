@@ -574,3 +574,20 @@ def test_recipes_without_a_code_share_no_cost(make, calendar):
     ready = plans.ready_recipes(recipes).dropna(subset=["unique_recipe_code"])
     costs = plans.picklist_costs(ready, lines, skus, prices, make("box_item"))
     assert {r.unique_recipe_code for r in costs.collect()} == {"C-1"}
+
+
+def test_only_columns_that_are_read_are_staged(spark, tmp_path, monkeypatch):
+    """Of the joined orders and order lines; and what is cut from them has all its columns."""
+    market_tables, staged = importlib.import_module("workload.market_tables"), {}
+    sf_dir, own = "/root/testdata/sf0.001", market_tables.stage
+    whole = {name: df.columns for name, df in market_tables.market_tables(spark, sf_dir).items()}
+
+    def noted(df, label):
+        staged[label] = df.columns
+        return own(df, label)
+
+    monkeypatch.setattr(market_tables, "stage", noted)
+    cut = market_tables.market_tables(spark, sf_dir, "recipe", "sku_price", "sku", "calendar", "picklist", "box_item")
+    assert {name: df.columns for name, df in cut.items()} == {name: whole[name] for name in cut}
+    assert {"l_orderkey", "l_discount", "ucode", "rcode"}.isdisjoint(staged["recipe_lines"])
+    assert {"rid", "ucode", "rcode", "mkt", "o_orderkey"} <= set(staged["recipe_orders"])

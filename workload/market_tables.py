@@ -10,6 +10,8 @@ Prices are multiples of 8 so that their means stay clear of rounding ties.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.sources import stage
@@ -253,8 +255,8 @@ def market_tables(spark: SparkSession, sf_dir: str, *roles: str) -> dict[str, Da
     """The roles' frames, all of them when none is named.
 
     Orders joined with their customers, and order lines joined with those, are
-    staged once when several roles are cut from them. So are the tables of
-    distinct rows that plans read more than once.
+    staged once when several roles are cut from them, with the columns that those
+    name. So are the tables of distinct rows that plans read more than once.
     """
     wanted = {role: _TABLES[role] for role in roles or _TABLES}
     frames = {name: table(spark, sf_dir, name) for name in _DRIVER_TABLES}
@@ -266,11 +268,19 @@ def market_tables(spark: SparkSession, sf_dir: str, *roles: str) -> dict[str, Da
     for name, sql in _BASE.items():
         frames[name] = spark.sql(sql, **frames)
         if readers[name] > 1:
-            frames[name] = stage(frames[name], name)
+            frames[name] = stage(_named_in(frames[name], name, wanted), name)
     cut = {role: spark.sql(sql, **frames) for role, sql in wanted.items()}
     return {role: stage(df, role) if role in _READ_OFTEN else df for role, df in cut.items()}
 
 
+def _named_in(base: DataFrame, name: str, wanted: dict[str, str]) -> DataFrame:
+    """The columns of a base that the SQL reading it names, for the wanted roles or another base."""
+    lines_wanted = any("{recipe_lines}" in sql for sql in wanted.values())
+    texts = [*wanted.values(), *([_BASE["recipe_lines"]] if lines_wanted else [])]
+    words = set(re.findall(r"\w+", " ".join(sql for sql in texts if "{" + name + "}" in sql)))
+    return base.select(*(column for column in base.columns if column in words))
+
+
 def market_ctes() -> list[tuple[str, str]]:
     """The same tables as (name, SQL) for a WITH clause over the driver's views."""
     names = {name: name for name in (*_DRIVER_TABLES, *_BASE)}
