@@ -66,6 +66,21 @@ def test_pieces_are_bounded_and_whole_units(texts):
     assert len(rows) > 12
 
 
+def test_plain_texts_pass_the_shuffle_whole(texts, monkeypatch):
+    """A plain text's digests come from its sorted pieces, like those of the other forms."""
+    own, made, text = infill.pieces, [], "wörd  of\n" * 40_000
+    monkeypatch.setattr(infill, "pieces", lambda *a, **k: made.append(own(*a, **k)) or made[-1])
+    rows = infill.digests(texts(text, "", None), fim_percent=0).orderBy("doc_id").collect()
+    assert [(r.form, r.output_sha256, r.restored_sha256) for r in rows] == [("plain", sha(t), sha(t)) for t in (text, "", "")]
+    pieces = made[-1].where("doc = 0").orderBy("at").collect()
+    assert len(pieces) > 9 and b"".join(bytes(r.piece) for r in pieces) == text.encode()
+
+
+def test_reader_passes_a_plain_output_on():
+    reader = infill.Reader("plain")
+    assert [p for piece in (b"a <", b"", b"P> b", b"<S") for p in reader.feed(piece)] == [(0, b"a <"), (0, b"P> b"), (0, b"<S")]
+
+
 def test_empty_table(texts):
     docs = texts("x").limit(0)
     assert infill.digests(docs).count() == infill.transform(docs).count() == infill.pieces(docs).count() == 0
