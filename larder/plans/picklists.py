@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from larder.functions import any_of, clean_text
 from larder.operators import bom_rollup
 from larder.plans import fixed_values as fixed
+from larder.sources import release, stage
 
 # A picklist row is priced along up to three routes. Results of different
 # routes are stacked, never merged, even for the same recipe.
@@ -122,10 +123,13 @@ def picklist_costs(
         .withColumn("route", F.lit(NORWAY))
     )
     norway = F.col("route") == NORWAY
+    # A row or few for each SKU, from all prices: what those have shuffled goes before picklists are shuffled.
+    routed_skus = stage(_routed_skus(skus, sku_prices), "routed-skus")
+    release(routed_skus.sparkSession)
     lines = (
         _routed_lines(picklists)
         .join(ready.select("id", "market", "unique_recipe_code"), ["id", "market"])
-        .join(_routed_skus(skus, sku_prices), ROUTE_KEYS, "left")
+        .join(routed_skus, ROUTE_KEYS, "left")
         .filter(norway | F.col("listings").isNotNull())
         .join(boxes, ["route", "code"], "left")
         .na.fill({"listings": 1, "box_rows": 1})

@@ -18,7 +18,7 @@ from larder.operators import (
 )
 from larder.plans import fixed_values as fixed
 from larder.plans.schema import BUSINESS_SCHEMA
-from larder.sources import stage
+from larder.sources import release, stage
 
 
 def pool_rules() -> list[list[Column]]:
@@ -94,7 +94,9 @@ def pool_recipes(
         "scorescm",
         "scorewoscm",
     )
-    eligible = rule_filter(poolable.join(costs, ["unique_recipe_code", "market"]), pool_rules())
+    eligible = stage(rule_filter(poolable.join(costs, ["unique_recipe_code", "market"]), pool_rules()), "eligible")
+    # What the costs have shuffled goes before scores, usage and nutrition are.
+    release(eligible.sparkSession)
     counted = enrich(
         eligible,
         [
@@ -106,6 +108,7 @@ def pool_recipes(
     one = F.lit(1)
     pool_rows = F.coalesce("usage_rows", one) * F.coalesce("nutrition_rows", one)
     staged = stage(counted.withColumn("pool_rows", pool_rows), "pool")
+    release(staged.sparkSession)
     scored = hierarchical_mean_fill(
         staged,
         {"scorescm": "scorescm", "scorewoscm": "scorewoscm"},

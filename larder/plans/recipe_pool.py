@@ -34,8 +34,8 @@ def recipe_pool(
     week column in the tables and in the result. ``sort`` orders the result by
     country and recipe code; leave it out when writing to files.
 
-    Ready recipes and joined pool rows are staged, which runs two jobs; the
-    result itself is lazy.
+    Ready recipes, prices by SKU, costed recipes and joined pool rows are staged,
+    which runs four jobs; the result itself is lazy.
     """
     t = conform(tables, week_column)
     as_of = as_of or today(t["recipe"].sparkSession)

@@ -591,3 +591,24 @@ def test_only_columns_that_are_read_are_staged(spark, tmp_path, monkeypatch):
     assert {name: df.columns for name, df in cut.items()} == {name: whole[name] for name in cut}
     assert {"l_orderkey", "l_discount", "ucode", "rcode"}.isdisjoint(staged["recipe_lines"])
     assert {"rid", "ucode", "rcode", "mkt", "o_orderkey"} <= set(staged["recipe_orders"])
+
+
+def test_each_step_of_the_pool_is_written_before_the_next_is_shuffled(spark, monkeypatch):
+    """So the shuffles of prices, picklists and scores never lie on the disks together."""
+    from larder.plans import picklists
+    from larder.plans import pool as pool_plan
+    from workload import market_queries, market_tables
+
+    steps = []
+    for module in (market_tables, picklists, pool_plan):
+        own, freed = module.stage, module.release
+        monkeypatch.setattr(module, "stage", lambda df, label, own=own: (steps.append((label, df)), own(df, label))[1])
+        monkeypatch.setattr(module, "release", lambda s, freed=freed: (steps.append(("release", None)), freed(s)))
+    rows = market_queries.market_pool_recipes(spark, "/root/testdata/sf0.001")
+    assert rows.count() > 0
+    labels = [label for label, _ in steps]
+    wanted = ["recipe_lines", "release", "routed-skus", "release", "eligible", "release", "pool", "release"]
+    assert [label for label in labels[labels.index("recipe_lines") :] if label in wanted] == wanted
+    read = {label: df.inputFiles() for label, df in steps if df is not None}
+    assert any("/recipe_lines-" in f for f in read["routed-skus"]) and any("/routed-skus-" in f for f in read["eligible"])
+    assert any("/eligible-" in f for f in read["pool"]) and not any("/routed-skus-" in f or "/sku-" in f for f in read["pool"])

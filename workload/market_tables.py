@@ -14,7 +14,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.sources import stage
+from larder.sources import release, stage
 from workload.tables import table
 
 AS_OF = "1998-05-15"
@@ -269,6 +269,8 @@ def market_tables(spark: SparkSession, sf_dir: str, *roles: str) -> dict[str, Da
         frames[name] = spark.sql(sql, **frames)
         if readers[name] > 1:
             frames[name] = stage(_named_in(frames[name], name, wanted), name)
+            # What the joins have shuffled would lie beside all that the plans shuffle.
+            release(spark)
     cut = {role: spark.sql(sql, **frames) for role, sql in wanted.items()}
     return {role: stage(df, role) if role in _READ_OFTEN else df for role, df in cut.items()}
 
